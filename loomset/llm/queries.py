@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, mixing
+from loomset.llm import decontaminate, mixing, topk
 from loomset.llm.common import table
 from loomset.llm.near_dedup import near_duplicates
 from loomset.llm.suffix_dedup import remove_repeats
@@ -16,6 +16,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 20 = 0"), k=20, scale=64)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +41,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op9_decontamination": op9_decontamination,
@@ -54,6 +60,7 @@ r AS (SELECT x, y FROM b UNION SELECT r.x, b.y FROM r JOIN b ON r.y = b.x)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id, d.doc_id <= coalesce(m.y, d.doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON m.x = d.doc_id
 """,
+    "op2_topk": topk.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
     "op10_warc": r"""
