@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from loomset.llm import decontaminate, mixing, topk
 from loomset.llm.common import table
+from loomset.llm.language import language_id
 from loomset.llm.near_dedup import near_duplicates
+from loomset.llm.quality import quality_scores
 from loomset.llm.suffix_dedup import remove_repeats
 from loomset.llm.warc import page_records
 
@@ -31,6 +33,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=10).drop("items")
 
@@ -44,6 +54,8 @@ QUERIES = {
     "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op7_quality": op7_quality,
+    "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
 }
