@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomset.llm import decontaminate, mixing, topk
 from loomset.llm.common import table
 from loomset.llm.language import language_id
+from loomset.llm.lm_score import lm_scores
 from loomset.llm.near_dedup import near_duplicates
 from loomset.llm.quality import quality_scores
 from loomset.llm.suffix_dedup import remove_repeats
@@ -33,6 +34,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_lm_score": op5_lm_score,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
