@@ -12,8 +12,8 @@ hash among its GRAM-byte substrings; equal strings have equal anchors at equal p
 with one anchor form a fragment, which is their strings' text, on average three times as long as the starts are many.
 
 1. Anchors are counted; a fragment whose anchor occurs once holds no repeat and goes no further.
-2. Equal fragments fold into one with its count (summed before the shuffle), so copies cost nothing: two of them go into
-   the suffix array, and what is found holds for all.
+2. Equal fragments fold into one with its count (summed before the shuffle): in the suffix array the suffixes of copies
+   stand side by side, so one entry stands for them all, and a count above one is a common prefix of full length.
 3. Anchors with more than GROUP different fragments (a passage that many documents share, in different surroundings) are
    split by content: starts are halved by their distance to the anchor, and each half goes by the hash of the text that all
    its strings share. Equal strings stay together; parts that are alone drop out. This ends at single starts.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from loomset.llm.common import _powers, chunks, groups, mix, stash, utf8
 
-GRAM, GROUP, BATCH = 40, 256, 4 << 20
+GRAM, GROUP, BATCH = 73, 4096, 2 << 20
 
 
 class Hasher:
@@ -162,23 +162,23 @@ def _direct(b: np.ndarray, pos: np.ndarray, depth: int) -> np.ndarray:
     order = np.argsort(word[pos])
     pos = pos[order]
     w = word[pos]
-    start = np.concatenate([[True], w[1:] != w[:-1]])
-    at = 8
+    # live: places in pos of groups that are equal so far but not over depth bytes; g: their groups
+    live, g, at = np.arange(len(pos)), np.cumsum(np.concatenate([[0], w[1:] != w[:-1]])), 8
     while at < depth:
-        group = np.cumsum(start) - 1
-        head = np.flatnonzero(start)
-        h = same[pos]
-        unequal = np.zeros(len(head), dtype=bool)
-        np.logical_or.at(unequal, group[h != h[head[group]]], True)
-        live = np.flatnonzero(unequal[group])
+        head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        size = np.diff(np.concatenate([head, [len(g)]]))
+        h = same[pos[live]]
+        unequal = np.logical_or.reduceat(h != np.repeat(h[head], size), head)
+        keep = np.repeat(unequal, size)
+        live, g = live[keep], g[keep]
         if not len(live):
             break
-        p, g = pos[live], group[live]
+        p = pos[live]
         w = word[p + at]
         order = np.lexsort((w, g))
         pos[live] = p[order]
         w, g = w[order], g[order]
-        start[live[1:]] |= (g[1:] == g[:-1]) & (w[1:] != w[:-1])
+        g = np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]) | (w[1:] != w[:-1])]))
         at += 8
     return pos
 
@@ -209,20 +209,17 @@ def common_prefixes(b: np.ndarray, order: np.ndarray, length: int) -> np.ndarray
 
 
 def repeats(texts: list[bytes], count: list[int], length: int) -> list[np.ndarray]:
-    """For each text, which of its starts' strings occur elsewhere in the texts, or in a copy if it is counted twice."""
-    parts, where = [], []
-    at = 0
-    for t, c in zip(texts, count, strict=True):
-        where.append(at)
-        for _ in range(min(c, 2)):
-            parts += [t, b"\xff"]
-            at += len(t) + 1
-    b = np.frombuffer(b"".join(parts), dtype=np.uint8)
-    size = np.array([len(p) for p in parts])
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(b))  # bytes to the end of the text (or of the separator)
+    """For each text, which of its starts' strings occur elsewhere in the texts; all of them, if the text is counted twice.
+
+    A text's copies are entries of the suffix array that stand next to its own and equal it, so they are counted, not repeated.
+    """
+    size = np.array([len(t) + 1 for t in texts])
+    where = np.cumsum(size) - size
+    b = np.frombuffer(b"\xff".join([*texts, b""]), dtype=np.uint8)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(b)) - 1
     order = suffix_array(b, length)
     hit = common_prefixes(b, order[left[order] >= length], length)
-    return [hit[w : w + len(t) - length + 1] for w, t in zip(where, texts, strict=True)]
+    return [hit[w : w + len(t) - length + 1] | (c > 1) for w, t, c in zip(where, texts, count, strict=True)]
 
 
 def _runs(hit: np.ndarray) -> list[int]:
@@ -246,10 +243,8 @@ def _search(length: int):
 
         for g in groups(batches, ["anchor", "core"]):
             rows = g.to_pylist()
-            if len(rows) == 1 and rows[0]["c"] < 2:
-                continue
             held += rows
-            size += sum(len(r["text"]) * min(r["c"], 2) for r in rows)
+            size += sum(len(r["text"]) for r in rows)
             if size >= BATCH:
                 yield flush()
                 held, size = [], 0
@@ -266,7 +261,7 @@ def _cut(length: int):
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                t = (row["text"] or "").encode()
+                t = row["text"]
                 out += [(f["anchor"], f["frag"], f["c"], f["off"], t[f["first"] : f["first"] + f["n"] + length - 1]) for f in row["list"]]
                 if len(out) > 20_000:
                     yield _cut_batch(out)
@@ -325,8 +320,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     live = stash(every.join(often, "anchor"), "fragments")
     kinds = live.groupBy("anchor", "frag").agg(F.count("*").alias("c"), F.min(F.struct("key", "first", "n", "off")).alias("r"))
     wanted = kinds.groupBy("r.key").agg(F.collect_list(F.struct("anchor", "frag", "c", F.col("r.first").alias("first"), F.col("r.n").alias("n"), F.col("r.off").alias("off"))).alias("list"))
-    texts = docs.select("key", "text").join(wanted, "key").mapInArrow(_cut(length), "anchor long, frag long, c long, off int, text binary")
-    step = 1 << int(length).bit_length()  # above the largest distance to an anchor
+    texts = docs.select("key", F.col("text").cast("binary").alias("text")).join(wanted, "key").mapInArrow(_cut(length), "anchor long, frag long, c long, off int, text binary")
+    step = 1 << (length - min(GRAM, (length + 1) // 2)).bit_length()  # above the largest distance to an anchor
     parts = stash(texts.selectExpr("anchor", "0L core", "frag", "c", "0 lo", "off", f"{step} step", "text"), "parts")
     hits = None
     while True:
@@ -359,26 +354,27 @@ def merged(spans: list[int] | None) -> list[tuple[int, int]]:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for t, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            t, cuts = t.encode(), merged(spans)
+        for t, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            cuts = merged(spans)
             at, keep = 0, []
             for a, z in cuts:
                 keep.append(t[at:a])
                 at = z
             keep.append(t[at:])
-            rows.append((len(t), sum(z - a for a, z in cuts), [{"start": a, "end": z} for a, z in cuts], b"".join(keep)))
+            rows.append((len(t), sum(z - a for a, z in cuts), [{"start": a, "end": z} for a, z in cuts], b"".join(keep), "".join(k.decode(errors="ignore") for k in keep)))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-        yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), span, pa.binary()), strict=True))], ["id", "n_bytes", "n_removed", "spans", "kept"])
+        cols = list(zip(*rows, strict=True)) or [()] * 5
+        yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), span, pa.binary(), pa.string()), strict=True))], ["id", "n_bytes", "n_removed", "spans", "kept", "text"])
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """One row per document: carry (the id by default), n_bytes, n_removed, spans (array of start, end), kept (binary: the bytes that remain)."""
+    """One row per document: carry (the id by default), n_bytes, n_removed, spans (array of start, end), kept (binary: the
+    bytes that remain), text (the same without characters that are cut in part)."""
     carry = carry or [id_col]
     spans = repeated_spans(docs, length, id_col, text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*carry).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
     rows = rows.join(spans, "key", "left").select("id", "text", "spans")
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(_kept, f"id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
-    return out.select("id.*", "n_bytes", "n_removed", "spans", "kept")
+    out = rows.mapInArrow(_kept, f"id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, text string")
+    return out.select("id.*", "n_bytes", "n_removed", "spans", "kept", "text")
