@@ -12,6 +12,7 @@ from loomset.llm.lm_score import lm_scores
 from loomset.llm.near_dedup import near_duplicates
 from loomset.llm.quality import quality_scores
 from loomset.llm.suffix_dedup import remove_repeats
+from loomset.llm.token_counts import token_counts
 from loomset.llm.warc import page_records
 
 
@@ -38,6 +39,10 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_lm_score": op5_lm_score,
+    "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
