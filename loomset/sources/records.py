@@ -40,7 +40,7 @@ def discover(spark: SparkSession, path: str, pattern: str = "shard_*.jsonl", rec
     if not _exists(spark, path):
         return spark.createDataFrame([], "path string, sha256 string, bytes long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    files = files.option("recursiveFileLookup", "true").load(path) if recursive else files.load(f"{path}/*")
+    files = files.option("recursiveFileLookup", str(recursive).lower()).load(path)
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
 
 
