@@ -12,7 +12,7 @@ slice is filled to f answers to a foreign n-gram with probability f^HASHES, so t
 
 Scale: at most SAMPLE labelled documents for each language are learned from (the documented bound; they are chosen by a
 hash of the text). Counts are summed before the shuffle. The filter is combined by bitwise OR in the cluster, and what is
-broadcast has a fixed size: SLOTS words for each 32 languages. Texts are read whole, in one pass, without a shuffle.
+broadcast has a fixed size: SLOTS words for each 32 languages; the LANGUAGES most frequent labels are learned. Texts are read whole, in one pass, without a shuffle.
 
 Nulls and edge cases: null texts and those without letters are `und` with score 0. Texts none of whose n-grams are known get the
 language with most documents, score 0. Without labelled documents every text is `und`. A null id is held out. Only id,
@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, chunks, mix, utf8
+from loomset.llm.common import _LOWER, chunks, mix, stash, utf8
 
-SAMPLE, LEAST, SHARE = 4000, 2e-6, 0.2
+SAMPLE, LEAST, SHARE, LANGUAGES = 4000, 2e-6, 0.2, 256
 SLOTS, HASHES, N = 1 << 20, 3, 4
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -117,17 +117,17 @@ def learn(docs: DataFrame, text_col: str, lang_col: str) -> Filter | None:
     """Learns from all rows with a language; docs: the training rows."""
     spark = docs.sparkSession
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    known = rows.groupBy("lang").count().withColumnRenamed("lang", "l")
+    known = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
+    if not known:
+        return None
+    usual, names = known[0][0], sorted(r[0] for r in known)
+    sizes = spark.createDataFrame([(r[0], r[1]) for r in known], "l string, documents long")
     # about SAMPLE texts of each language; equal texts are taken or left together
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    rows = rows.join(known, F.col("lang") == F.col("l")).where(part < SAMPLE / F.col("count")).select("lang", "text")
-    names = [r[0] for r in known.orderBy("l").select("l").collect()]
-    if not names:
-        return None
-    usual = known.orderBy(F.col("count").desc(), "l").first()[0]
-    n = rows.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("lang"))
-    share = n.withColumn("p", F.col("n") / total)
+    rows = rows.join(F.broadcast(sizes), F.col("lang") == F.col("l")).where(part < SAMPLE / F.col("documents")).select("lang", "text")
+    n = stash(rows.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
+    total = spark.createDataFrame(n.groupBy("lang").agg(F.sum("n")).collect(), "l string, total long")
+    share = n.join(F.broadcast(total), F.col("lang") == F.col("l")).select("lang", "gram", (F.col("n") / F.col("total")).alias("p"))
     share = share.withColumn("top", F.max("p").over(Window.partitionBy("gram"))).where((F.col("p") >= LEAST) & (F.col("p") >= SHARE * F.col("top")))
     number = spark.createDataFrame([(x, i // 32, 1 << i % 32) for i, x in enumerate(names)], "l string, word int, bit long")
     bits = share.join(F.broadcast(number), F.col("lang") == F.col("l")).groupBy("gram", "word").agg(F.bit_or("bit").alias("bit"))
