@@ -98,7 +98,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def part(at: Column) -> Column:
         return F.greatest(zero, F.least(F.col("size"), end - at))
 
-    a, b, c = F.col("p.a"), F.col("p.b"), F.least(F.lit(1.0), F.col("_c") / F.col("p.target"))
+    a, b, c = F.col("p.a"), F.col("p.b"), F.coalesce(F.least(F.lit(1.0), F.try_divide("_c", "p.target")), F.lit(0.0))
     t = F.when(a == b, c).otherwise((F.sqrt(a * a + 2 * (b - a) * c) - a) / (b - a))
     at = F.coalesce(F.floor(F.col("p.flow") * t + F.col("p.bend") * t * t), zero).cast("long")
     out = dealt.select(*kept, "size", F.col("p.source_size").alias("source_size"), F.col("p.target").alias("target"), (part(F.col("_c")) + part(F.col("_c") + F.col("p.source_size"))).alias("taken"), at.alias("position"))
