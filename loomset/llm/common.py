@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -30,7 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests), a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='loomset-')}"
+        local = tempfile.mkdtemp(prefix="loomset-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        found = f"file://{local}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
@@ -43,11 +48,23 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 def stash_path(df: DataFrame, name: str) -> str:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STASHED.append(path)
     return path
 
 
+_STASHED: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all stashes so far: once the results that were made from them are written."""
+    for path in list(_STASHED):
+        drop_stash(spark, path)
+
+
 def drop_stash(spark: SparkSession, path: str) -> None:
     """Delete a stash that nothing reads any more."""
+    if path in _STASHED:
+        _STASHED.remove(path)
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -178,6 +195,35 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], sized: str, size: int) -> Iterator[pa.Table]:
+    """Tables of whole groups of equal keys with about `size` bytes in column `sized`; batches are sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    held_bytes = 0
+    for batch in batches:
+        at = 0
+        ends = np.cumsum(pa.compute.binary_length(batch[sized]).to_numpy())
+        while at < batch.num_rows:  # in steps, so that one large batch is cut too
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + size - min(held_bytes, size), side="right")))
+            to = min(to, batch.num_rows)
+            held.append(batch.slice(at, to - at))
+            held_bytes += int(ends[to - 1] - done)
+            at = to
+            if held_bytes < size:
+                continue
+            t = pa.Table.from_batches(held)
+            change = np.zeros(t.num_rows, dtype=bool)
+            for k in keys:
+                c = t[k].to_numpy()
+                change[1:] |= c[1:] != c[:-1]
+            if len(cut := np.flatnonzero(change)):
+                yield t.slice(0, cut[-1])
+                held = t.slice(cut[-1]).combine_chunks().to_batches()
+                held_bytes = int(pa.compute.sum(pa.compute.binary_length(held[0][sized])).as_py())
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(u, v) long pairs -> (node, component), component the smallest node reachable; only nodes that have an edge.
 
@@ -195,10 +241,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
         before = now
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # minima are written first, so that each join has two plain shuffles and AQE can split the one of a hot node
+        large = stash_path(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
+        low = spark.read.schema("u long, m long").parquet(large)
         e = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        path, spent = stash_path(e, "cc"), path
+        drop_stash(spark, spent)
+        e = spark.read.schema("u long, v long").parquet(path)
+        small = stash_path(e.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        low = spark.read.schema("u long, m long").parquet(small)
         e = e.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
-        new = stash_path(e, "cc")
-        drop_stash(spark, path)
-        path = new
+        path, spent = stash_path(e, "cc"), path
+        for p in (spent, large, small):
+            drop_stash(spark, p)

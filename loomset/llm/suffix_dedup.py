@@ -13,7 +13,8 @@ with one anchor form a fragment, which is their strings' text, on average three
 
 1. Anchors are counted; a fragment whose anchor occurs once holds no repeat and goes no further.
 2. Equal fragments fold into one with its count (summed before the shuffle): in the suffix array the suffixes of copies
-   stand side by side, so one entry stands for them all, and a count above one is a common prefix of full length.
+   stand side by side, so one entry stands for them all, and a count above one is a common prefix of full length. A
+   fragment that is alone with its anchor needs no sorting: its copies are its only neighbours.
 3. Anchors with more than GROUP different fragments (a passage that many documents share, in different surroundings) are
    split by content: starts are halved by their distance to the anchor, and each half goes by the hash of the text that all
    its strings share. Equal strings stay together; parts that are alone drop out. This ends at single starts.
@@ -36,9 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _powers, chunks, groups, mix, stash, utf8
+from loomset.llm.common import _powers, chunks, mix, stash, utf8, whole_groups
 
-GRAM, GROUP, BATCH = 73, 4096, 2 << 20
+GRAM, GROUP, BATCH = 73, 4096, 1 << 20
 
 
 class Hasher:
@@ -208,57 +209,66 @@ def common_prefixes(b: np.ndarray, order: np.ndarray, length: int) -> np.ndarray
     return hit
 
 
-def repeats(texts: list[bytes], count: list[int], length: int) -> list[np.ndarray]:
-    """For each text, which of its starts' strings occur elsewhere in the texts; all of them, if the text is counted twice.
+def repeats(b: np.ndarray, offs: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of starts whose strings occur elsewhere in the texts: the text of each border of a run, and its place there.
 
-    A text's copies are entries of the suffix array that stand next to its own and equal it, so they are counted, not repeated.
+    Borders alternate between the first start of a run and the start after its last. A text's copies are entries of the suffix
+    array that stand next to its own and equal it, so they are counted, not repeated: all starts of such a text are hits.
     """
-    size = np.array([len(t) + 1 for t in texts])
-    where = np.cumsum(size) - size
-    b = np.frombuffer(b"\xff".join([*texts, b""]), dtype=np.uint8)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(b)) - 1
-    order = suffix_array(b, length)
-    hit = common_prefixes(b, order[left[order] >= length], length)
-    return [hit[w : w + len(t) - length + 1] | (c > 1) for w, t, c in zip(where, texts, count, strict=True)]
-
-
-def _runs(hit: np.ndarray) -> list[int]:
+    n, size = len(offs) - 1, np.diff(offs)
+    where = offs[:-1] + np.arange(n)
+    x = np.full(len(b) + n, 0xFF, dtype=np.uint8)
+    x[np.arange(len(b)) + np.repeat(np.arange(n), size)] = b
+    valid = np.repeat(where + size, size + 1) - np.arange(len(x)) >= length
+    order = suffix_array(x, length)
+    hit = common_prefixes(x, order[valid[order]], length) | (np.repeat(count > 1, size + 1) & valid)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-    return edge.tolist()
+    text = np.searchsorted(where, edge, side="right") - 1
+    return text, edge - where[text]
 
 
 HITS = "anchor long, frag long, hits array<int>"
 
 
 def _search(length: int):
+    def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        anchor, core, frag, c, lo = (t[k].to_numpy() for k in ("anchor", "core", "frag", "c", "lo"))
+        first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (core[1:] != core[:-1])]))
+        size = np.diff(np.concatenate([first, [len(anchor)]]))
+        # a text that is alone in its group has only its copies for neighbours
+        alone = np.repeat(size == 1, size)
+        k = np.flatnonzero(alone)
+        n = pa.compute.binary_length(t["text"]).to_numpy()[k] - length + 1
+        yield _hits(anchor[k], frag[k], 2 * np.arange(len(k) + 1), np.stack([lo[k], lo[k] + n], 1).ravel())
+        k = np.flatnonzero(~alone)
+        b, offs = utf8(t["text"].take(pa.array(k)))
+        text, at = repeats(b, offs, c[k], length)
+        rows, first = np.unique(text, return_index=True)
+        yield _hits(anchor[k][rows], frag[k][rows], np.concatenate([first, [len(text)]]), at + lo[k][text])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            found = repeats([r["text"] for r in held], [r["c"] for r in held], length)
-            rows = [(r["anchor"], r["frag"], [x + r["lo"] for x in _runs(h)]) for r, h in zip(held, found, strict=True) if h.any()]
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int32())), strict=True)], ["anchor", "frag", "hits"])
-
-        for g in groups(batches, ["anchor", "core"]):
-            rows = g.to_pylist()
-            held += rows
-            size += sum(len(r["text"]) for r in rows)
-            if size >= BATCH:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
+        for t in whole_groups(batches, ["anchor", "core"], "text", BATCH):
+            yield from found(t)
 
     return run
 
 
+def _hits(anchor: np.ndarray, frag: np.ndarray, offs: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    hits = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(at, pa.int32()))
+    return pa.record_batch([pa.array(anchor), pa.array(frag), hits], ["anchor", "frag", "hits"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, size):
+            yield batch.slice(i, size)
+
+
 def _cut(length: int):
     """Texts of the listed fragments of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 1000):
             out = []
             for row in batch.to_pylist():
                 t = row["text"]
@@ -287,7 +297,7 @@ def _halve(length: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 4000):
             out = []
             for r in batch.to_pylist():
                 n, near, step, i = len(r["text"]) - length + 1, r["off"] - r["lo"], r["step"] // 2, 0
@@ -316,7 +326,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     """
     docs = _keyed(docs, id_col, text_col)
     every = docs.select("key", "text").where(F.octet_length("text") >= length).mapInArrow(_fragments(length), FRAGMENT)
-    often = every.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
+    # written first, so that both sides of the join are plain shuffles, of which a hot anchor's can be split
+    often = stash(every.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"), "anchors")
     live = stash(every.join(often, "anchor"), "fragments")
     kinds = live.groupBy("anchor", "frag").agg(F.count("*").alias("c"), F.min(F.struct("key", "first", "n", "off")).alias("r"))
     wanted = kinds.groupBy("r.key").agg(F.collect_list(F.struct("anchor", "frag", "c", F.col("r.first").alias("first"), F.col("r.n").alias("n"), F.col("r.off").alias("off"))).alias("list"))
@@ -325,7 +336,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     parts = stash(texts.selectExpr("anchor", "0L core", "frag", "c", "0 lo", "off", f"{step} step", "text"), "parts")
     hits = None
     while True:
-        size = parts.groupBy("anchor", "core").agg(F.count("*").alias("k"), F.sum("c").alias("all")).where("all > 1")
+        size = parts.groupBy("anchor", "core").agg(F.count("*").alias("k"), F.sum("c").alias("all")).where("all > 1")  # so alone means copied
         sized = parts.join(size, ["anchor", "core"])
         found = sized.where(f"k <= {GROUP}").select("anchor", "core", "frag", "c", "lo", "text").repartition("anchor", "core").sortWithinPartitions("anchor", "core").mapInArrow(_search(length), HITS)
         large = stash(sized.where(f"k > {GROUP}").select(*parts.columns), "large")
@@ -352,7 +363,7 @@ def merged(spans: list[int] | None) -> list[tuple[int, int]]:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches, 1000):
         rows = []
         for t, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
             cuts = merged(spans)
