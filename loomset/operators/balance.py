@@ -50,6 +50,7 @@ def leaked(df: DataFrame, held_out: DataFrame, text: str = "text", words: int =
 
 
 def tier(score: Column) -> Column:
+    # Grades and their least scores.
     return F.when(score >= 80, F.lit("honey")).when(score >= 60, F.lit("cluster")).otherwise(F.lit("cell"))
 
 
