@@ -10,8 +10,8 @@ contexts that were never seen end the path. It is a proper distribution over tex
 Baseline. Tokens are words and one end for each text; log10((c + 0.5) / (N + 0.5 (V + 1))), summed.
 
 Scale: all training texts are counted, in sums before the shuffle: n-grams of DEPTH + 1 bytes, and words. What is broadcast
-is bounded: of the n-grams of each length over two bytes the tree keeps the GRAMS most frequent, always counted over
-all texts; and of the words the WORDS most frequent are looked up at once. All other words of a text are looked up by a shuffle join with the whole
+is bounded: of each length over two bytes the tree keeps the most frequent contexts, with all that follows them, up to
+GRAMS n-grams, always counted over all texts; and of the words the WORDS most frequent are looked up at once. All other words of a text are looked up by a shuffle join with the whole
 vocabulary. Texts are scored whole, in runs of documents.
 
 Nulls and edge cases: null text is empty: one token, the end. A null id is held out. Repeated rows are texts of their
@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, Words, chunks, mix, stash, utf8
+from loomset.llm.common import _LOWER, chunks, mix, stash, trimmed, utf8, Words
 from loomset.llm.language import held_out
 
-DEPTH, GRAMS, WORDS, RUN = 5, 1_500_000, 1 << 16, 4 << 20
+DEPTH, GRAMS, WORDS, RUN = 5, 3 << 17, 1 << 16, 2 << 20
 END = 0xFF
 
 
@@ -49,6 +49,7 @@ def grams(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g[keep], starts
 
 
+@trimmed
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         b, offs = utf8(batch.column(0))
@@ -58,6 +59,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(g[first].view(np.int64)), pa.array(np.diff(np.concatenate([first, [len(g)]])))], ["g", "n"])
 
 
+@trimmed
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         b, offs = utf8(batch.column(0))
@@ -73,57 +75,72 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) - np.log(low)
 
 
+def _in_parts(f, *x: np.ndarray, size: int = 1 << 17) -> np.ndarray:
+    """f over parts of arrays, to bound what it holds meanwhile."""
+    return np.concatenate([f(*(v[i : i + size] for v in x)) for i in range(0, len(x[0]), size)] or [np.zeros(0)])
+
+
+def _own(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Logarithm of the Krichevsky-Trofimov probability of so many zeros and ones."""
+    a, b = zero.astype(np.float64), one.astype(np.float64)
+    return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1) - np.log(np.pi)
+
+
 class _Tree:
     """The nodes of each depth: key (context << 8 | decision) and the probability of a 1 for a path that ends there."""
 
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
-        """counts: for each depth, sorted integers of context and byte, and how often they occur."""
+        """counts: for each depth, sorted integers of context and byte, and how often they occur. The list is emptied."""
         self.keys: list[np.ndarray] = []
-        nodes = []
-        for g, n in counts:
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
+        while counts:
+            g, n = counts.pop(0)
             key, zero, one = [], [], []
             for j in range(8):  # g is sorted, so the n-grams below a node are a run
                 above = g >> np.uint64(8 - j)
                 first = np.flatnonzero(np.concatenate([[True], above[1:] != above[:-1]])) if len(g) else np.zeros(0, np.int64)
-                bit = (g >> np.uint64(7 - j) & np.uint64(1)).astype(np.int64)
-                both, ones = (np.add.reduceat(v, first).astype(np.float64) if len(first) else np.zeros(0) for v in (n, n * bit))
+                ones = n * (g >> np.uint64(7 - j) & np.uint64(1)).astype(np.int64)
+                both, ones = (np.add.reduceat(v, first) if len(first) else np.zeros(0, np.int64) for v in (n, ones))
                 above = above[first]
                 key.append(above >> np.uint64(j) << np.uint64(8) | np.uint64(1 << j) | above & np.uint64((1 << j) - 1))
-                zero.append(both - ones)
-                one.append(ones)
+                zero.append((both - ones).astype(np.float32))
+                one.append(ones.astype(np.float32))
             k = np.concatenate(key)
             order = np.argsort(k)
-            k, a, b = k[order], np.concatenate(zero)[order], np.concatenate(one)[order]
-            own = _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1) - np.log(np.pi)
-            nodes.append([k, (b + 0.5) / (a + b + 1), own])
+            self.keys.append(k[order])
+            seen.append((np.concatenate(zero)[order], np.concatenate(one)[order]))
         # bottom up: log odds of each node's own estimate against its children's
-        odds: list[np.ndarray] = [np.zeros(0)] * len(nodes)
-        below = None
-        for depth in range(len(nodes) - 1, -1, -1):
-            k, _, own = nodes[depth]
-            if below is None:
-                odds[depth], weighted = np.full(len(k), np.inf), own
-            else:
-                parent = self._parent(below[0], depth)
-                at = np.searchsorted(k, parent)
-                ok = (at < len(k)) & (k[np.minimum(at, len(k) - 1)] == parent) if len(k) else np.zeros(len(parent), bool)
-                deep = np.bincount(at[ok], below[1][ok], minlength=len(k)) if len(k) else np.zeros(0)
-                odds[depth] = own - deep
-                weighted = np.logaddexp(own, deep) - np.log(2)
-            below = k, weighted
+        odds: list[np.ndarray] = [np.zeros(0)] * len(seen)
+        weighted = None
+        for depth in range(len(seen) - 1, -1, -1):
+            k, own = self.keys[depth], _in_parts(_own, *seen[depth])
+            if weighted is None:
+                odds[depth], weighted = np.full(len(k), np.inf, dtype=np.float32), own
+                continue
+            parent = self._parent(self.keys[depth + 1], depth)
+            at = np.minimum(np.searchsorted(k, parent), max(len(k) - 1, 0))
+            ok = k[at] == parent if len(k) else np.zeros(len(parent), dtype=bool)
+            deep = np.bincount(at[ok], weighted[ok], minlength=len(k)) if len(k) else np.zeros(0)
+            odds[depth] = (own - deep).astype(np.float32)
+            weighted = np.logaddexp(own, deep) - np.log(2)
         # top down: the mix along the path to each node
         self.p: list[np.ndarray] = []
         before = None
-        for depth, (k, kt, _) in enumerate(nodes):
+        for depth, k in enumerate(self.keys):
+            zero, one = seen[depth]
+            seen[depth] = ()
+            kt = ((one + 0.5) / (zero + one + 1)).astype(np.float64)
             if before is None:
                 head, rest = np.zeros(len(k)), np.ones(len(k))
             else:
-                parent = np.searchsorted(before[0], self._parent(k, depth - 1))
-                head, rest = before[1][parent], before[2][parent]
-            share = 1 / (1 + np.exp(-np.clip(odds[depth], -700, 700)))
-            self.keys.append(k)
+                # a node whose parent was left out starts a path of its own
+                up = self._parent(k, depth - 1)
+                parent = np.minimum(np.searchsorted(self.keys[depth - 1], up), max(len(self.keys[depth - 1]) - 1, 0))
+                ok = self.keys[depth - 1][parent] == up if len(self.keys[depth - 1]) else np.zeros(len(k), dtype=bool)
+                head, rest = (np.where(ok, v[parent], w) if len(v) else np.full(len(k), w) for v, w in zip(before, (0.0, 1.0), strict=True))
+            share = 1 / (1 + np.exp(-np.clip(odds[depth].astype(np.float64), -700, 700)))
             self.p.append((head + rest * kt).astype(np.float32))
-            before = k, head + rest * share * kt, rest * (1 - share)
+            before = head + rest * share * kt, rest * (1 - share)
 
     @staticmethod
     def _parent(key: np.ndarray, depth: int) -> np.ndarray:
@@ -189,9 +206,9 @@ class Table:
 
 class Model:
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
-        self.tree = _Tree(counts)
         seen = counts[-1][0]
-        self.table = Table(seen, np.concatenate([self.tree.log10(seen[i : i + (1 << 17)]) for i in range(0, len(seen), 1 << 17)] or [np.zeros(0)]).astype(np.float32))
+        self.tree = _Tree(counts)
+        self.table = Table(seen, _in_parts(self.tree.log10, seen).astype(np.float32))
 
     def score(self, b: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """log10 probability of each text of a run."""
@@ -206,28 +223,34 @@ class Model:
 
 def learn(texts: DataFrame) -> Model:
     """texts: one column, text."""
-    n = stash(texts.mapInArrow(_count_grams, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")
-
-    def arrays(depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """The n-grams of depth + 1 bytes with their counts: all, or the GRAMS most frequent (fewer if many tie at the end)."""
-        level = n.groupBy(F.expr(f"g & {(1 << 8 * (depth + 1)) - 1}L").alias("g")).agg(F.sum("n").alias("n"))
-        if depth > 1:
-            least, total = 1, 0
-            for row in level.groupBy("n").count().orderBy(F.col("n").desc()).toLocalIterator():
-                total += row[1]
-                if total > GRAMS:
-                    least = row[0] + 1
-                    break
-            level = level.where(F.col("n") >= least)
-        p = level.toPandas()
-        g = p["g"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(g)
-        return g[order], p["n"].to_numpy(np.int64)[order]
-
-    return Model([arrays(depth) for depth in range(DEPTH + 1)])
+    level = stash(texts.mapInArrow(_count_grams, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")
+    counts = []
+    for depth in range(DEPTH, -1, -1):  # each level is summed up from the one above it
+        counts.insert(0, _arrays(level))
+        if depth:
+            level = stash(level.groupBy(F.expr(f"g & {(1 << 8 * depth) - 1}L").alias("g")).agg(F.sum("n").alias("n")), "grams")
+    return Model(counts)
+
+
+def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A level's n-grams with their counts, of all contexts or of the most frequent: at most GRAMS of them."""
+    if level.count() > GRAMS:
+        contexts = level.groupBy(F.shiftright("g", 8).alias("c")).agg(F.sum("n").alias("t"), F.count("*").alias("k"))
+        least, total = 1, 0
+        for row in contexts.groupBy("t").agg(F.sum("k").alias("k")).orderBy(F.col("t").desc()).toLocalIterator():
+            total += row[1]
+            if total > GRAMS:
+                least = row[0] + 1
+                break
+        level = level.join(contexts.where(F.col("t") >= least), F.shiftright("g", 8) == F.col("c"), "left_semi")
+    p = level.toPandas()
+    g = p["g"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(g)
+    return g[order], p["n"].to_numpy(np.int64)[order]
 
 
 def _score(model, words, train_docs: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, often = model.value, words.value
         for batch in batches:
