@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm.common import shared_dir, table
+from loomset.llm.common import release, shared_dir, stash, table
 from loomset.llm.decontaminate import contamination
 from loomset.llm.language import held_out, identify, learn
 from loomset.llm.mixing import mix_sources
@@ -27,15 +27,16 @@ from loomset.llm.near_dedup import near_duplicates
 from loomset.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+REST = [c for c in COLUMNS if c != "text"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = learn(docs.where(~held_out(F.col("doc_id"), 0)), "text", "lang")
-    return identify(docs, model, COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
+    return identify(docs, model, REST, keep_text=True).where("lang_pred <> 'und'").select(*COLUMNS)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id").distinct()
+    dropped = stash(near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id").distinct(), "dropped")
     named = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti")
     again = named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     once = named.join(again, "doc_id", "left_anti").select(*COLUMNS)
@@ -50,9 +51,9 @@ def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.select(F.struct(*COLUMNS).alias("document"), "text")
-    out = contamination(rows, table(spark, sf_dir, "benchmark"), words=10, id_col="document")
-    return out.where("not contaminated").select("document.*")
+    rows = docs.select(F.struct(*REST).alias("document"), "text")
+    out = contamination(rows, table(spark, sf_dir, "benchmark"), words=10, id_col="document", keep_text=True)
+    return out.where("not contaminated").select("document.*", "text").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,6 +79,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        release(spark)
     return docs
 
 

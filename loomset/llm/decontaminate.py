@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import ALNUM, Words, chunks, stash, utf8
+from loomset.llm.common import ALNUM, chunks, stash, trimmed, utf8, Words
 
 #: Words of a benchmark block: at most about 80 MB broadcast. A longer item is a block of its own.
 BLOCK_WORDS = 1 << 20
@@ -142,6 +142,7 @@ def _frequencies(docs: DataFrame, vocab: np.ndarray) -> tuple[np.ndarray, np.nda
     """Occurrences of each benchmark word in all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = Member(shared.value)
         n = np.zeros(len(member.values), dtype=np.int64)
@@ -161,7 +162,8 @@ def _digest(ids: list[str]) -> str:
     return hashlib.sha256(",".join(ids).encode()).hexdigest()
 
 
-def _probe(index, last: bool):
+def _probe(index, last: bool, keep_text: bool):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
         for batch in batches:
@@ -178,7 +180,7 @@ def _probe(index, last: bool):
                     if (name := ix.ids[pair[1]]) is not None:
                         items[pair[0]].append(name)
                 items = [sorted(set(x)) for x in items]
-                ids = batch.column(0).slice(i, j - i)
+                ids = batch.column(0).take(pa.array(np.arange(i, j)))  # a slice of a struct would be sent with all its rows
                 cols = [ids, pa.array(w.count.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array(items, pa.list_(pa.string()))]
                 if last:
                     cols.append(pa.array([_digest(x) for x in items]))
@@ -186,13 +188,17 @@ def _probe(index, last: bool):
                     cuts = np.searchsorted(np.flatnonzero(hit), w.first)
                     where = np.flatnonzero(hit) - np.repeat(w.first[:-1], np.diff(cuts))
                     cols.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(where, pa.int64())))
-                yield pa.record_batch(cols, ["id", "n_words", "n_hit", "items", "digest" if last else "hit"])
+                names = ["id", "n_words", "n_hit", "items", "digest" if last else "hit"]
+                if keep_text:
+                    cols.append(batch.column(1).slice(i, j - i))
+                    names.append("text")
+                yield pa.record_batch(cols, names)
 
     return run
 
 
-def contamination(docs: DataFrame, bench: DataFrame, words: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items (sorted as strings), items_sha256, contaminated."""
+def contamination(docs: DataFrame, bench: DataFrame, words: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """One row per document: id, n_words, n_hit, n_items, items (sorted as strings), items_sha256, contaminated; its text if asked."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
@@ -206,8 +212,8 @@ def contamination(docs: DataFrame, bench: DataFrame, words: int = 10, id_col: st
         w = _block_words(texts)
         vocab, freq = _frequencies(docs, np.unique(w.hash)) if len(w.hash) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         index = spark.sparkContext.broadcast(Index(ids, w, words, vocab, freq))
-        extra = "hit array<bigint>" if several else "digest string"
-        part = docs.select("row" if several else "id", "text").mapInArrow(_probe(index, not several), f"id {docs.schema['row'].dataType.simpleString() if several else kind}, n_words long, n_hit long, items array<string>, {extra}")
+        extra = "hit array<bigint>" if several else "digest string, text string" if keep_text else "digest string"
+        part = docs.select("row" if several else "id", "text").mapInArrow(_probe(index, not several, keep_text and not several), f"id {docs.schema['row'].dataType.simpleString() if several else kind}, n_words long, n_hit long, items array<string>, {extra}")
         if not several:
             out = part
             break
@@ -217,8 +223,10 @@ def contamination(docs: DataFrame, bench: DataFrame, words: int = 10, id_col: st
         # Repeated rows (same id and text) fold to one and are dealt out again.
         united = out.groupBy("id").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         united = united.select("id", "n_words", F.size("hit").cast("long").alias("n_hit"), "items", F.sha2(F.array_join("items", ","), 256).alias("digest"))
-        out = docs.select("row").join(united, F.col("row").eqNullSafe(F.col("id"))).select(F.col("row.id").alias("id"), "n_words", "n_hit", "items", "digest")
-    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", F.col("digest").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+        united = united.withColumnRenamed("id", "key")
+        out = docs.select("row", "text").join(united, F.col("row").eqNullSafe(F.col("key"))).select(F.col("row.id").alias("id"), "n_words", "n_hit", "items", "digest", "text")
+    text = ["text"] if keep_text else []
+    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", F.col("digest").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), *text)
 
 
 ORACLE = r"""

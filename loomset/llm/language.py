@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, chunks, mix, stash, utf8
+from loomset.llm.common import _LOWER, chunks, mix, stash, trimmed, utf8
 
 SAMPLE, LEAST, SHARE, LANGUAGES = 4000, 2e-6, 0.2, 256
 SLOTS, HASHES, N = 1 << 20, 3, 4
@@ -65,6 +65,7 @@ def grams(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g[ok], np.concatenate([[0], np.cumsum(ok)])[starts]
 
 
+@trimmed
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang = batch.column(0).to_pylist()
@@ -82,6 +83,7 @@ def slots_of(g: np.ndarray) -> list[np.ndarray]:
     return [(h >> np.uint64(20 * k) & np.uint64(SLOTS - 1)).astype(np.int64) for k in range(HASHES)]
 
 
+@trimmed
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         g, word, bit = (batch.column(k).to_numpy() for k in range(3))
@@ -142,7 +144,8 @@ def _has_letters(text: bytes) -> bool:
     return bool(((x | 32 >= 97) & (x | 32 <= 122) & (x < 128)).any()) or (bool((x >= 128).any()) and any(c.isalpha() for c in text.decode(errors="ignore")))
 
 
-def _predict(shared):
+def _predict(shared, keep_text: bool):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for batch in batches:
@@ -156,17 +159,21 @@ def _predict(shared):
                     best, share = f.predict(*grams(part, o))
                     name = ["und" if not ok else f.usual if k < 0 else f.langs[k] for ok, k in zip(letters, best, strict=True)]
                     score = np.where(letters, share, 0.0)
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(name, pa.string()), pa.array(score, pa.float64())], ["x", "lang_pred", "score"])
+                x = batch.column(0).take(pa.array(np.arange(i, j)))  # a slice of a struct would be sent with all its rows
+                cols = [x, pa.array(name, pa.string()), pa.array(score, pa.float64())]
+                if keep_text:
+                    cols.append(batch.column(1).slice(i, j - i))
+                yield pa.record_batch(cols, ["x", "lang_pred", "score", "text"][: len(cols)])
 
     return run
 
 
-def identify(docs: DataFrame, model: Filter | None, carry: list[str], text_col: str = "text") -> DataFrame:
-    """docs' columns carry, lang_pred and score."""
+def identify(docs: DataFrame, model: Filter | None, carry: list[str], text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """docs' columns carry, lang_pred, score, and text if asked."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*carry).alias("x"), F.col(text_col).cast("string").alias("_text"))
-    out = rows.mapInArrow(_predict(shared), f"x {rows.schema['x'].dataType.simpleString()}, lang_pred string, score double")
-    return out.select("x.*", "lang_pred", "score")
+    out = rows.mapInArrow(_predict(shared, keep_text), f"x {rows.schema['x'].dataType.simpleString()}, lang_pred string, score double" + ", text string" * keep_text)
+    return out.select("x.*", "lang_pred", "score", *["text"] * keep_text)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
