@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -69,6 +72,21 @@ def drop_stash(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def trimmed(run):
+    """A function for mapInArrow that gives its memory back to the system at its end, as workers live on for later stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string or binary column; nulls are empty."""
     if isinstance(arr, pa.ChunkedArray):
@@ -102,16 +120,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _R = 0x9E3779B97F4A7C15 | 1
-_POW = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW[0]) < n:
-        for k, r in enumerate((_R, pow(_R, -1, 1 << 64))):
+    """Powers of _R and of its inverse, kept for the life of the process and never sent with a task."""
+    kept = sys.modules.setdefault("_loomset_powers", types.ModuleType("_loomset_powers")).__dict__
+    if len(kept.get("p", ())) < n:
+        for k, r in (("p", _R), ("q", pow(_R, -1, 1 << 64))):
             a = np.full(n, np.uint64(r), dtype=np.uint64)
             a[0] = 1
-            _POW[k] = np.multiply.accumulate(a)
-    return _POW[0], _POW[1]
+            kept[k] = np.multiply.accumulate(a)
+    return kept["p"], kept["q"]
 
 
 class Words:

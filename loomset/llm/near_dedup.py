@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import Words, chunks, connected_components, groups, shingle_sets, stash, utf8
+from loomset.llm.common import chunks, connected_components, groups, shingle_sets, stash, trimmed, utf8, Words
 
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
@@ -73,6 +73,7 @@ def nibbles(sig: np.ndarray) -> np.ndarray:
 
 
 def _sketch(n: int, bands: bool):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b, offs = utf8(batch.column(1))
@@ -117,6 +118,7 @@ class Forest:
 def _alike(least: float):
     """Within each small bucket, a spanning forest of the pairs whose estimate is high enough."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = [], []
         for g in groups(batches, ["band", "key"]):
@@ -162,6 +164,7 @@ def confirmed(sets: list[np.ndarray], percent: int, rows: range | None = None) -
 
 
 def _confirm(keys: list[str], percent: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = [], []
         for g in groups(batches, keys):
@@ -245,6 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _with_sets(sets: DataFrame, words: int) -> DataFrame:
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0

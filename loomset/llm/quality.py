@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import Words, chunks, groups, mix, utf8
+from loomset.llm.common import chunks, groups, mix, trimmed, utf8, Words
 from loomset.llm.language import held_out
 
 ROWS, DIMS, SIGNS, HIDDEN, SAMPLE = 1 << 14, 32, 2, 32, 20_000
@@ -66,11 +66,12 @@ def index_vectors(h: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [((x >> np.uint64(8 * k)) % np.uint64(DIMS), 1.0 - 2.0 * (x >> np.uint64(60 + k) & np.uint64(1))) for k in range(SIGNS)]
 
 
+@trimmed
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(ROWS * DIMS)
     for batch in batches:
         b, offs = utf8(batch.column(0))
-        for i, j in chunks(offs, 4 << 20):
+        for i, j in chunks(offs):
             h, w = tokens(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
             doc = np.repeat(w.doc, 2)
             row = (h & np.uint64(ROWS - 1)).astype(np.int64) * DIMS
@@ -88,6 +89,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(k), pa.FixedSizeListArray.from_arrays(pa.array(t[k].ravel()), DIMS).cast(pa.list_(pa.int64()))], ["row", "v"])
 
 
+@trimmed
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for g in groups(batches, ["row"]):
         v = g["v"].combine_chunks().flatten().to_numpy().reshape(-1, DIMS).sum(0)
@@ -166,6 +168,7 @@ class Network:
 
 
 def _features(shared):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b, offs = utf8(batch.column(1))
@@ -177,6 +180,7 @@ def _features(shared):
 
 
 def _score(shared, network):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b, offs = utf8(batch.column(1))

@@ -37,9 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _powers, chunks, mix, stash, utf8, whole_groups
+from loomset.llm.common import _powers, chunks, mix, stash, trimmed, utf8, whole_groups
 
-GRAM, GROUP, BATCH = 73, 4096, 1 << 20
+GRAM, GROUP, BATCH = 73, 2048, 1 << 19
 
 
 class Hasher:
@@ -95,6 +95,7 @@ FRAGMENT = "key long, anchor long, frag long, first int, n int, off int"
 
 
 def _fragments(length: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column(0).to_numpy()
@@ -246,6 +247,7 @@ def _search(length: int):
         rows, first = np.unique(text, return_index=True)
         yield _hits(anchor[k][rows], frag[k][rows], np.concatenate([first, [len(text)]]), at + lo[k][text])
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["anchor", "core"], "text", BATCH):
             yield from found(t)
@@ -267,6 +269,7 @@ def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 def _cut(length: int):
     """Texts of the listed fragments of each document."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 1000):
             out = []
@@ -296,6 +299,7 @@ def _halve(length: int):
     core: hash of the block's place and of the text that all its strings share, so that equal strings stay together.
     """
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 4000):
             out = []
@@ -362,6 +366,7 @@ def merged(spans: list[int] | None) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+@trimmed
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches, 1000):
         rows = []
