@@ -87,6 +87,23 @@ def trimmed(run):
     return wrapped
 
 
+_OBJECT = "loomset object"
+
+
+def plain(x):
+    """An object of this package as names and values, to be broadcast: executors need not import its class."""
+    return (_OBJECT, type(x).__name__, {k: plain(v) for k, v in vars(x).items()}) if type(x).__module__.startswith("loomset.") else x
+
+
+def whole(x, *classes: type):
+    """The object again, of the classes given; arrays are not copied."""
+    if not (isinstance(x, tuple) and x[:1] == (_OBJECT,)):
+        return x
+    out = object.__new__(next(c for c in classes if c.__name__ == x[1]))
+    out.__dict__.update({k: whole(v, *classes) for k, v in x[2].items()})
+    return out
+
+
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string or binary column; nulls are empty."""
     if isinstance(arr, pa.ChunkedArray):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import ALNUM, chunks, stash, trimmed, utf8, Words
+from loomset.llm.common import ALNUM, chunks, plain, stash, trimmed, utf8, whole, Words
 
 #: Words of a benchmark block: at most about 80 MB broadcast. A longer item is a block of its own.
 BLOCK_WORDS = 1 << 20
@@ -165,7 +165,7 @@ def _digest(ids: list[str]) -> str:
 def _probe(index, last: bool, keep_text: bool):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.value
+        ix = whole(index.value, Index, Member)
         for batch in batches:
             for i, j, w in _words_of(batch, 1):
                 at, k = ix.hits(w)
@@ -211,7 +211,7 @@ def contamination(docs: DataFrame, bench: DataFrame, words: int = 10, id_col: st
     for ids, texts in itertools.chain(ahead, blocks):
         w = _block_words(texts)
         vocab, freq = _frequencies(docs, np.unique(w.hash)) if len(w.hash) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        index = spark.sparkContext.broadcast(Index(ids, w, words, vocab, freq))
+        index = spark.sparkContext.broadcast(plain(Index(ids, w, words, vocab, freq)))
         extra = "hit array<bigint>" if several else "digest string, text string" if keep_text else "digest string"
         part = docs.select("row" if several else "id", "text").mapInArrow(_probe(index, not several, keep_text and not several), f"id {docs.schema['row'].dataType.simpleString() if several else kind}, n_words long, n_hit long, items array<string>, {extra}")
         if not several:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, chunks, mix, stash, trimmed, utf8
+from loomset.llm.common import _LOWER, chunks, mix, plain, stash, trimmed, utf8, whole
 
 SAMPLE, LEAST, SHARE, LANGUAGES = 4000, 2e-6, 0.2, 256
 SLOTS, HASHES, N = 1 << 20, 3, 4
@@ -147,7 +147,7 @@ def _has_letters(text: bytes) -> bool:
 def _predict(shared, keep_text: bool):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = shared.value
+        f = whole(shared.value, Filter)
         for batch in batches:
             b, offs = utf8(batch.column(batch.num_columns - 1))
             for i, j in chunks(offs):
@@ -170,7 +170,7 @@ def _predict(shared, keep_text: bool):
 
 def identify(docs: DataFrame, model: Filter | None, carry: list[str], text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """docs' columns carry, lang_pred, score, and text if asked."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(plain(model))
     rows = docs.select(F.struct(*carry).alias("x"), F.col(text_col).cast("string").alias("_text"))
     out = rows.mapInArrow(_predict(shared, keep_text), f"x {rows.schema['x'].dataType.simpleString()}, lang_pred string, score double" + ", text string" * keep_text)
     return out.select("x.*", "lang_pred", "score", *["text"] * keep_text)

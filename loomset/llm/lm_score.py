@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, chunks, mix, stash, trimmed, utf8, Words
+from loomset.llm.common import _LOWER, chunks, mix, plain, stash, trimmed, utf8, whole, Words
 from loomset.llm.language import held_out
 
 DEPTH, GRAMS, WORDS, RUN = 5, 3 << 17, 1 << 16, 2 << 20
@@ -252,7 +252,7 @@ def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _score(model, words, train_docs: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, often = model.value, words.value
+        m, often = whole(model.value, Model, _Tree, Table), whole(words.value, Table)
         for batch in batches:
             b, offs = utf8(batch.column(1))
             for i, j in chunks(offs, RUN):
@@ -275,13 +275,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     context = docs.sparkSession.sparkContext
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     train = docs.where(~held_out(F.col(id_col), 1)).select(text.alias("text"))
-    model = context.broadcast(learn(train))
+    model = context.broadcast(plain(learn(train)))
     vocabulary = stash(train.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     ends = train.count()
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = n + ends, v + (ends > 0)
     top = vocabulary.orderBy(F.col("n").desc(), "h").limit(WORDS).toPandas()
-    often = context.broadcast(Table(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)))
+    often = context.broadcast(plain(Table(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64))))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(_score(model, often, ends), f"id {kind}, n_tokens long, known long, base double, rare array<long>, score double")
     rows = stash(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
