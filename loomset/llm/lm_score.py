@@ -9,10 +9,12 @@ contexts that were never seen end the path. It is a proper distribution over tex
 
 Baseline. Tokens are words and one end for each text; log10((c + 0.5) / (N + 0.5 (V + 1))), summed.
 
-Scale: all training texts are counted, in sums before the shuffle: n-grams of DEPTH + 1 bytes, and words. What is broadcast
-is bounded: of each length over two bytes the tree keeps the most frequent contexts, with all that follows them, up to
-GRAMS n-grams, always counted over all texts; and of the words the WORDS most frequent are looked up at once. All other words of a text are looked up by a shuffle join with the whole
-vocabulary. Texts are scored whole, in runs of documents.
+Scale: all training texts are counted, in sums before the shuffle: n-grams of DEPTH + 1 bytes, and words; no context is left
+out. The n-grams are dealt out by the last SPLIT bytes of their contexts, so that each block has whole subtrees, weighs them
+bottom up and sends the sums of their roots to the driver, which holds the depths under SPLIT (at most all n-grams of SPLIT
+bytes) and broadcasts them; then each block gives its n-grams, those of held-out texts too, their probabilities. Looked up at
+once are the GRAMS most frequent n-grams and the WORDS most frequent words; all others of a text by shuffle joins with all
+n-grams and the whole vocabulary, with the same result. Texts are scored whole, in runs of documents.
 
 Nulls and edge cases: null text is empty: one token, the end. A null id is held out. Repeated rows are texts of their
 own. Without training texts N, V and all c are 0, the baseline of a token is 0, and each decision has probability 1/2.
@@ -32,6 +34,7 @@ from loomset.llm.common import _LOWER, chunks, mix, plain, stash, trimmed, utf8,
 from loomset.llm.language import held_out
 
 DEPTH, GRAMS, WORDS, RUN = 5, 3 << 17, 1 << 16, 2 << 20
+SPLIT, BLOCK = 3, 1 << 17
 END = 0xFF
 
 
@@ -53,10 +56,13 @@ def grams(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         b, offs = utf8(batch.column(0))
+        train = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
         for i, j in chunks(offs, RUN):
-            g = np.sort(grams(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i])[0])
-            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-            yield pa.record_batch([pa.array(g[first].view(np.int64)), pa.array(np.diff(np.concatenate([first, [len(g)]])))], ["g", "n"])
+            g, starts = grams(b[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            g = np.sort(g << np.uint64(1) | np.repeat(train[i:j], np.diff(starts)))
+            first = np.flatnonzero(np.concatenate([[True], g[1:] >> np.uint64(1) != g[:-1] >> np.uint64(1)]))
+            n = np.add.reduceat((g & np.uint64(1)).astype(np.int64), first)
+            yield pa.record_batch([pa.array((g[first] >> np.uint64(1)).view(np.int64)), pa.array(n), pa.array(np.diff(np.concatenate([first, [len(g)]])))], ["g", "n", "m"])
 
 
 @trimmed
@@ -87,82 +93,87 @@ def _own(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 class _Tree:
-    """The nodes of each depth: key (context << 8 | decision) and the probability of a 1 for a path that ends there."""
+    """The nodes of depths first and deeper: key (context << 8 | decision) and the probability of a 1 for a path that ends there."""
 
-    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
-        """counts: for each depth, sorted integers of context and byte, and how often they occur. The list is emptied."""
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]], first: int = 0, deep: tuple[np.ndarray, np.ndarray] | None = None, above: _Tree | None = None):
+        """counts: for each depth, sorted integers of context and byte, and how often they occur. The list is emptied.
+
+        deep: nodes of the last depth, and the sums of the logarithms of what is below them; None if nothing is. above: the tree
+        of the depths before first; without it only `weighted` is made, the logarithms of the first depth's nodes.
+        """
         self.keys: list[np.ndarray] = []
         seen: list[tuple[np.ndarray, np.ndarray]] = []
         while counts:
             g, n = counts.pop(0)
             key, zero, one = [], [], []
             for j in range(8):  # g is sorted, so the n-grams below a node are a run
-                above = g >> np.uint64(8 - j)
-                first = np.flatnonzero(np.concatenate([[True], above[1:] != above[:-1]])) if len(g) else np.zeros(0, np.int64)
+                prefix = g >> np.uint64(8 - j)
+                start = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]])) if len(g) else np.zeros(0, np.int64)
                 ones = n * (g >> np.uint64(7 - j) & np.uint64(1)).astype(np.int64)
-                both, ones = (np.add.reduceat(v, first) if len(first) else np.zeros(0, np.int64) for v in (n, ones))
-                above = above[first]
-                key.append(above >> np.uint64(j) << np.uint64(8) | np.uint64(1 << j) | above & np.uint64((1 << j) - 1))
-                zero.append((both - ones).astype(np.float32))
-                one.append(ones.astype(np.float32))
+                both, ones = (np.add.reduceat(v, start) if len(start) else np.zeros(0, np.int64) for v in (n, ones))
+                prefix = prefix[start]
+                key.append(prefix >> np.uint64(j) << np.uint64(8) | np.uint64(1 << j) | prefix & np.uint64((1 << j) - 1))
+                zero.append((both - ones).astype(np.float64))
+                one.append(ones.astype(np.float64))
             k = np.concatenate(key)
             order = np.argsort(k)
             self.keys.append(k[order])
             seen.append((np.concatenate(zero)[order], np.concatenate(one)[order]))
         # bottom up: log odds of each node's own estimate against its children's
         odds: list[np.ndarray] = [np.zeros(0)] * len(seen)
-        weighted = None
-        for depth in range(len(seen) - 1, -1, -1):
-            k, own = self.keys[depth], _in_parts(_own, *seen[depth])
-            if weighted is None:
-                odds[depth], weighted = np.full(len(k), np.inf, dtype=np.float32), own
-                continue
-            parent = self._parent(self.keys[depth + 1], depth)
-            at = np.minimum(np.searchsorted(k, parent), max(len(k) - 1, 0))
-            ok = k[at] == parent if len(k) else np.zeros(len(parent), dtype=bool)
-            deep = np.bincount(at[ok], weighted[ok], minlength=len(k)) if len(k) else np.zeros(0)
-            odds[depth] = (own - deep).astype(np.float32)
-            weighted = np.logaddexp(own, deep) - np.log(2)
-        # top down: the mix along the path to each node
+        below = None
+        if deep is not None:
+            below = np.zeros(len(self.keys[-1]))
+            below[np.searchsorted(self.keys[-1], deep[0])] = deep[1]
+        for d in range(len(seen) - 1, -1, -1):
+            own = _in_parts(_own, *seen[d])
+            if below is None:
+                odds[d], self.weighted = np.full(len(own), np.inf), own
+            else:
+                odds[d], self.weighted = own - below, np.logaddexp(own, below) - np.log(2)
+            if d:
+                up = np.searchsorted(self.keys[d - 1], self._parent(self.keys[d], first + d - 1))
+                below = np.bincount(up, self.weighted, minlength=len(self.keys[d - 1]))
+        if first and above is None:
+            return
+        # top down: the mix along the path to each node; passed: what it is so far below the last depth, and the share left
         self.p: list[np.ndarray] = []
-        before = None
-        for depth, k in enumerate(self.keys):
-            zero, one = seen[depth]
-            seen[depth] = ()
-            kt = ((one + 0.5) / (zero + one + 1)).astype(np.float64)
-            if before is None:
+        parents, self.passed = (above.keys[-1], above.passed) if above else (None, None)
+        for d, k in enumerate(self.keys):
+            zero, one = seen[d]
+            seen[d] = ()
+            kt = (one + 0.5) / (zero + one + 1)
+            if parents is None:
                 head, rest = np.zeros(len(k)), np.ones(len(k))
             else:
-                # a node whose parent was left out starts a path of its own
-                up = self._parent(k, depth - 1)
-                parent = np.minimum(np.searchsorted(self.keys[depth - 1], up), max(len(self.keys[depth - 1]) - 1, 0))
-                ok = self.keys[depth - 1][parent] == up if len(self.keys[depth - 1]) else np.zeros(len(k), dtype=bool)
-                head, rest = (np.where(ok, v[parent], w) if len(v) else np.full(len(k), w) for v, w in zip(before, (0.0, 1.0), strict=True))
-            share = 1 / (1 + np.exp(-np.clip(odds[depth].astype(np.float64), -700, 700)))
-            self.p.append((head + rest * kt).astype(np.float32))
-            before = head + rest * share * kt, rest * (1 - share)
+                up = np.searchsorted(parents, self._parent(k, first + d - 1))
+                head, rest = (v[up] for v in self.passed)
+            share = 1 / (1 + np.exp(-np.clip(odds[d], -700, 700)))
+            self.p.append(head + rest * kt)
+            parents, self.passed = k, [head + rest * share * kt, rest * (1 - share)]
 
     @staticmethod
     def _parent(key: np.ndarray, depth: int) -> np.ndarray:
         return (key >> np.uint64(8) & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8) | key & np.uint64(255)
 
-    def log10(self, g: np.ndarray) -> np.ndarray:
-        """log10 probability of each n-gram's last byte after the others."""
+    def log10(self, g: np.ndarray, above: _Tree | None = None) -> np.ndarray:
+        """log10 probability of each n-gram's last byte after the others; above: the tree of the depths before."""
+        keys, ps = ([*above.keys, *self.keys], [*above.p, *self.p]) if above else (self.keys, self.p)
         out = np.zeros(len(g))
         byte, context = g & np.uint64(255), g >> np.uint64(8)
         for j in range(8):
             node = np.uint64(1 << j) | byte >> np.uint64(8 - j)
             one = (byte >> np.uint64(7 - j) & np.uint64(1)).astype(bool)
             p, open_ = np.full(len(g), 0.5), np.ones(len(g), dtype=bool)
-            for depth in range(len(self.keys) - 1, -1, -1):
-                k = self.keys[depth]
+            for depth in range(len(keys) - 1, -1, -1):
+                k = keys[depth]
                 left = np.flatnonzero(open_)
                 if not len(left) or not len(k):
                     continue
                 key = (context[left] & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8) | node[left]
                 at = np.minimum(np.searchsorted(k, key), len(k) - 1)
                 ok = k[at] == key
-                p[left[ok]], open_[left[ok]] = self.p[depth][at[ok]], False
+                p[left[ok]], open_[left[ok]] = ps[depth][at[ok]], False
             out += np.log10(np.where(one, p, 1 - p))
         return out
 
@@ -205,59 +216,121 @@ class Table:
 
 
 class Model:
+    """The whole tree in one place, for small corpora: gives what `lm_scores` gives."""
+
     def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
-        seen = counts[-1][0]
         self.tree = _Tree(counts)
-        self.table = Table(seen, _in_parts(self.tree.log10, seen).astype(np.float32))
 
     def score(self, b: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """log10 probability of each text of a run."""
         g, starts = grams(b, offs)
-        v, ok = self.table.get(g)
-        rest = np.flatnonzero(~ok)
-        if len(rest):
-            kinds, at = np.unique(g[rest], return_inverse=True)
-            v[rest] = self.tree.log10(kinds)[at]
-        return np.add.reduceat(v, starts[:-1]) if len(starts) > 1 else np.zeros(0)
-
-
-def learn(texts: DataFrame) -> Model:
-    """texts: one column, text."""
-    level = stash(texts.mapInArrow(_count_grams, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "grams")
-    counts = []
-    for depth in range(DEPTH, -1, -1):  # each level is summed up from the one above it
-        counts.insert(0, _arrays(level))
-        if depth:
-            level = stash(level.groupBy(F.expr(f"g & {(1 << 8 * depth) - 1}L").alias("g")).agg(F.sum("n").alias("n")), "grams")
-    return Model(counts)
-
-
-def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A level's n-grams with their counts, of all contexts or of the most frequent: at most GRAMS of them."""
-    if level.count() > GRAMS:
-        contexts = level.groupBy(F.shiftright("g", 8).alias("c")).agg(F.sum("n").alias("t"), F.count("*").alias("k"))
-        least, total = 1, 0
-        for row in contexts.groupBy("t").agg(F.sum("k").alias("k")).orderBy(F.col("t").desc()).toLocalIterator():
-            total += row[1]
-            if total > GRAMS:
-                least = row[0] + 1
-                break
-        level = level.join(contexts.where(F.col("t") >= least), F.shiftright("g", 8) == F.col("c"), "left_semi")
-    p = level.toPandas()
-    g = p["g"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(g)
-    return g[order], p["n"].to_numpy(np.int64)[order]
+        kinds, at = np.unique(g, return_inverse=True)
+        return np.add.reduceat(self.tree.log10(kinds)[at], starts[:-1]) if len(starts) > 1 else np.zeros(0)
+
+
+def _summed(g: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct last `size` bytes of n-grams, and their counts."""
+    low, at = np.unique(g & np.uint64((1 << 8 * size) - 1), return_inverse=True)
+    return low, np.bincount(at, n, minlength=len(low)).astype(np.int64)
+
+
+def _levels(g: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Counts of depths SPLIT to DEPTH, from those n-grams that training texts have."""
+    seen = n > 0
+    return [_summed(g[seen], n[seen], depth + 1) for depth in range(SPLIT, DEPTH + 1)]
+
+
+def _list(*parts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts)))
+
+
+def _blocks(size: int):
+    """Rows of whole subtrees with about `size` n-grams: the n-grams, and the sums that their roots add to the depth above."""
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[c.to_numpy() for c in batch.columns[:3]] for batch in batches]
+        if not parts:
+            return
+        g, n, m = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        c = g >> 8 & (1 << 8 * SPLIT) - 1
+        order = np.argsort(c)
+        g, n, m, c = g[order], n[order], m[order], c[order]
+        first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+        i = 0
+        while i < len(g):
+            to = np.searchsorted(first, i + size)
+            j = int(first[to]) if to < len(first) else len(g)
+            x = g[i:j].view(np.uint64)
+            tree = _Tree(_levels(x, n[i:j]), SPLIT)
+            key, at = np.unique(tree._parent(tree.keys[0], SPLIT - 1), return_inverse=True)
+            low, k = _summed(x[n[i:j] > 0], n[i:j][n[i:j] > 0], SPLIT)
+            yield pa.record_batch([_list(g[i:j]), _list(n[i:j]), _list(m[i:j]), _list(key.view(np.int64)), _list(np.bincount(at, tree.weighted, minlength=len(key)).astype(np.float64)), _list(low.view(np.int64)), _list(k)], ["g", "n", "m", "key", "deep", "low", "k"])
+            i = j
+
+    return run
+
+
+def _values(shared):
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = whole(shared.value, _Tree)
+        for batch in batches:
+            for r in range(batch.num_rows):
+                g, n, m = (batch.column(k)[r].values.to_numpy() for k in range(3))
+                x = g.view(np.uint64)
+                tree = _Tree(_levels(x, n), SPLIT, above=top)
+                yield pa.record_batch([pa.array(g), pa.array(m), pa.array(_in_parts(lambda y, t=tree: t.log10(y, top), x))], ["g", "m", "v"])
+
+    return run
 
 
-def _score(model, words, train_docs: int):
+def _frequent(values: DataFrame) -> DataFrame:
+    """The most frequent n-grams, at most GRAMS, by steps of 1/64 of a doubling: no sort, and only counts of steps are gathered."""
+    step = F.floor(F.log2("m") * 64)
+    total, least = 0, None
+    for row in sorted(values.groupBy(step.alias("step")).count().collect(), reverse=True):
+        total += row[1]
+        if total > GRAMS:
+            break
+        least = row[0]
+    return values.where(step >= F.lit(least))
+
+
+def _pairs(rows: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by key over lists of keys and values, sorted by key."""
+    p = rows.select(F.explode(F.arrays_zip(key, value)).alias("x")).groupBy(f"x.{key}").agg(F.sum(f"x.{value}").alias("s")).toPandas()
+    k = p[key].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(k)
+    return k[order], p["s"].to_numpy()[order]
+
+
+def learn(texts: DataFrame) -> DataFrame:
+    """texts: text, and train: whether it is learned from. For each n-gram of all texts g, how often it is there (m), and its log10 probability v."""
+    counts = texts.mapInArrow(_count_grams, "g long, n long, m long").groupBy("g").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    dealt = counts.withColumn("c", F.expr(f"shiftright(g, 8) & {(1 << 8 * SPLIT) - 1}L")).repartition("c")
+    blocks = stash(dealt.mapInArrow(_blocks(BLOCK), "g array<long>, n array<long>, m array<long>, key array<long>, deep array<double>, low array<long>, k array<long>"), "grams")
+    low, n = _pairs(blocks, "low", "k")
+    key, deep = _pairs(blocks, "key", "deep")
+    n = n.astype(np.int64)
+    top = _Tree([_summed(low, n, depth + 1) for depth in range(SPLIT)], deep=(key, deep.astype(np.float64)))
+    shared = texts.sparkSession.sparkContext.broadcast(plain(top))
+    return stash(blocks.select("g", "n", "m").mapInArrow(_values(shared), "g long, m long, v double"), "gram-values")
+
+
+def _score(grams_often, words, train_docs: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, often = whole(model.value, Model, _Tree, Table), whole(words.value, Table)
+        common, often = whole(grams_often.value, Table), whole(words.value, Table)
         for batch in batches:
             b, offs = utf8(batch.column(1))
             for i, j in chunks(offs, RUN):
                 part, o = b[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
-                score = m.score(part, o)
+                g, starts = grams(part, o)
+                v, ok = common.get(g)
+                score = np.add.reduceat(v, starts[:-1])
+                far = _list(*np.split(g[~ok].view(np.int64), np.cumsum(np.add.reduceat(~ok, starts[:-1], dtype=np.int64))[:-1]))
                 w = Words(part, o)
                 c, ok = often.get(w.hash)
                 log = np.where(ok, np.log10(c + 0.5), 0.0)
@@ -265,7 +338,7 @@ def _score(model, words, train_docs: int):
                 known = np.bincount(w.doc[ok], minlength=j - i) + (train_docs > 0)
                 rest, size = w.hash[~ok], np.bincount(w.doc[~ok], minlength=j - i)
                 rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(rest.view(np.int64)))
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(w.count + 1), pa.array(known.astype(np.int64)), pa.array(base), rare, pa.array(score)], ["id", "n_tokens", "known", "base", "rare", "score"])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(w.count + 1), pa.array(known.astype(np.int64)), pa.array(base), rare, far, pa.array(score)], ["id", "n_tokens", "known", "base", "rare", "far", "score"])
 
     return run
 
@@ -275,7 +348,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     context = docs.sparkSession.sparkContext
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     train = docs.where(~held_out(F.col(id_col), 1)).select(text.alias("text"))
-    model = context.broadcast(plain(learn(train)))
+    values = learn(docs.select(text.alias("text"), (~held_out(F.col(id_col), 1)).alias("train")))
+    top = _frequent(values).select("g", "v").toPandas()
+    common = context.broadcast(plain(Table(top["g"].to_numpy(np.int64).view(np.uint64), top["v"].to_numpy(np.float64))))
     vocabulary = stash(train.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     ends = train.count()
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -283,14 +358,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     top = vocabulary.orderBy(F.col("n").desc(), "h").limit(WORDS).toPandas()
     often = context.broadcast(plain(Table(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64))))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(_score(model, often, ends), f"id {kind}, n_tokens long, known long, base double, rare array<long>, score double")
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(_score(common, often, ends), f"id {kind}, n_tokens long, known long, base double, rare array<long>, far array<long>, score double")
     rows = stash(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count("*").alias("k"))
-    rare = rare.join(vocabulary, "h", "left").groupBy("row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("also"))
+    rare = rare.join(vocabulary, "h", "left").groupBy("row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("also"), F.lit(0.0).alias("deep"))
+    far = rows.select("row", F.explode("far").alias("g")).join(values.select("g", "v"), "g").groupBy("row").agg(F.lit(0.0).alias("more"), F.lit(0).cast("long").alias("also"), F.sum("v").alias("deep"))
+    more = rare.union(far).groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more", "also", "deep")))
     zero = F.lit(0)
-    out = rows.drop("rare").join(rare, "row", "left")
+    out = rows.drop("rare", "far").join(more, "row", "left")
     per_token = float(np.log10(n + 0.5 * (v + 1)))
     return out.select(
         F.col("id").alias(id_col), held_out(F.col("id"), 1).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("also", zero)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"), (F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score"),
     )

@@ -144,6 +144,20 @@ def test_lm_scores(spark):
         assert any((x.held_out, x.n_tokens, x.n_known, x.train_tokens) == (held, len(w), sum(c[y] > 0 for y in w), n) and abs(x.base_score - base) < 1e-6 and x.score < 0 for x in got[a])
 
 
+def test_lm_keeps_every_context(spark, monkeypatch):
+    """Few n-grams are looked up at once and blocks are small, yet each score is that of the whole tree."""
+    monkeypatch.setattr(lm_score, "GRAMS", 40)
+    monkeypatch.setattr(lm_score, "BLOCK", 30, raising=False)
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice(["the", "Cat", "näh", f"w{r.randrange(300)}"]) for _ in range(r.randrange(20)))) for i in range(200)] + [(1000, None), (1001, "zq unseen"), (None, "null id")]
+    low = [(i, (t or "").translate(LOWER).encode()) for i, t in rows]
+    train = [t for i, t in low if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    model = lm_score.Model(counted(train))
+    want = {i: model.score(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for i, t in low}
+    got = {x.doc_id: x.score for x in lm_score.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == pytest.approx(want, rel=1e-6)
+
+
 def test_lm_without_texts(spark):
     assert lm_score.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
