@@ -12,7 +12,7 @@ slice is filled to f answers to a foreign n-gram with probability f^HASHES, so t
 
 Scale: at most SAMPLE labelled documents for each language are learned from (the documented bound; they are chosen by a
 hash of the text). Counts are summed before the shuffle. The filter is combined by bitwise OR in the cluster, and what is
-broadcast has a fixed size: SLOTS words for each 32 languages; the LANGUAGES most frequent labels are learned. Texts are read whole, in one pass, without a shuffle.
+broadcast has a fixed size: SLOTS words for each 32 languages; all labels are learned. Texts are read whole, in one pass, without a shuffle.
 
 Nulls and edge cases: null texts and those without letters are `und` with score 0. Texts none of whose n-grams are known get the
 language with most documents, score 0. Without labelled documents every text is `und`. A null id is held out. Only id,
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from loomset.llm.common import _LOWER, chunks, mix, plain, stash, trimmed, utf8, whole
 
-SAMPLE, LEAST, SHARE, LANGUAGES = 4000, 2e-6, 0.2, 256
+SAMPLE, LEAST, SHARE = 4000, 2e-6, 0.2
 SLOTS, HASHES, N = 1 << 20, 3, 4
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -119,7 +119,7 @@ def learn(docs: DataFrame, text_col: str, lang_col: str) -> Filter | None:
     """Learns from all rows with a language; docs: the training rows."""
     spark = docs.sparkSession
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    known = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
+    known = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").collect()
     if not known:
         return None
     usual, names = known[0][0], sorted(r[0] for r in known)
@@ -133,9 +133,11 @@ def learn(docs: DataFrame, text_col: str, lang_col: str) -> Filter | None:
     share = share.withColumn("top", F.max("p").over(Window.partitionBy("gram"))).where((F.col("p") >= LEAST) & (F.col("p") >= SHARE * F.col("top")))
     number = spark.createDataFrame([(x, i // 32, 1 << i % 32) for i, x in enumerate(names)], "l string, word int, bit long")
     bits = share.join(F.broadcast(number), F.col("lang") == F.col("l")).groupBy("gram", "word").agg(F.bit_or("bit").alias("bit"))
-    slots = bits.mapInArrow(_slots, "slot long, word int, bit long").groupBy("slot", "word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    slots = stash(bits.mapInArrow(_slots, "slot long, word int, bit long").groupBy("slot", "word").agg(F.bit_or("bit").alias("bit")), "language-slots")
     table = np.zeros(((len(names) + 31) // 32, SLOTS), dtype=np.uint32)
-    table[slots["word"].to_numpy(np.int64), slots["slot"].to_numpy(np.int64)] = slots["bit"].to_numpy(np.int64).astype(np.uint32)
+    for w in range(len(table)):  # word by word, to bound what is gathered at once
+        p = slots.where(F.col("word") == w).select("slot", "bit").toPandas()
+        table[w][p["slot"].to_numpy(np.int64)] = p["bit"].to_numpy(np.int64).astype(np.uint32)
     return Filter(names, table, usual)
 
 

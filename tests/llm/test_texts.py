@@ -202,6 +202,15 @@ def test_language_many(spark):
     assert np.mean([a == b for a, b in held]) > 0.9
 
 
+def test_language_of_more_than_256_labels(spark):
+    r = random.Random(2)
+    words = [["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(5)] for _ in range(290)]
+    rows = [(k * 10 + i, " ".join(r.choices(words[k], k=20)), f"l{k:03}") for k in range(290) for i in range(4 if k < 256 else 3)]
+    truth = {i: x for i, _, x in rows}
+    got = language.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert np.mean([x.lang_pred == truth[x.doc_id] for x in got if truth[x.doc_id] >= "l256"]) > 0.9
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert rows_of(language.language_id(df), "lang_pred", "score") == [("und", 0.0)]
