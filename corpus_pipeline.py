@@ -3,28 +3,33 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again for the next. All
 but the last return the columns of documents.
 
-1. language: documents whose text has no language (null, or no letters) go.
+1. language: documents whose text has no language go: it is null, has no letters, or holds no n-gram that any learned language
+   has. Where nothing could be learned, only those without letters go.
 2. near_duplicates: one document of each group of near copies stays, that with the smallest id (shingles of five words,
    similarity 0.8 or more); of rows with one id, one stays. Rows with a null id belong to no group and stay.
 3. suffix_repeats: bytes covered by strings of 200 bytes that occur twice are cut out; a character that is cut in part goes
    too. n_chars follows. Documents of which nothing is left but white space go.
 4. decontamination: documents that contain a window of ten words of a benchmark item go.
-5. mixing: how many words of each document the mix takes, and at which position of training.
+5. mixing: how many words of each document the mix takes, and at which positions of training.
+
+Nulls and edge cases, of every stage: columns beyond those of documents are left behind, whatever their names. Any column may
+be null: a null text goes in stage 1, and counts as empty in a later stage that is called by itself; null ids are documents of
+their own; a null language is not learned from; a null source is a source. Rows that are equal in all are one document from
+stage 2 on. Ties go to the smaller id. Texts are read whole, whatever their length. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm.common import release, shared_dir, stash, table
+from loomset.llm.common import table
 from loomset.llm.decontaminate import contamination
 from loomset.llm.language import held_out, identify, learn
 from loomset.llm.mixing import mix_sources
 from loomset.llm.near_dedup import near_duplicates
 from loomset.llm.suffix_dedup import remove_repeats
+from loomset.scratch import drop, new_path, scratch, stash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REST = [c for c in COLUMNS if c != "text"]
@@ -32,7 +37,9 @@ REST = [c for c in COLUMNS if c != "text"]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = learn(docs.where(~held_out(F.col("doc_id"), 0)), "text", "lang")
-    return identify(docs, model, REST, keep_text=True).where("lang_pred <> 'und'").select(*COLUMNS)
+    if model is None:  # nothing to tell languages by
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    return identify(docs, model, REST, keep_text=True).where("lang_pred <> 'und' and score > 0").select(*COLUMNS)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,13 +80,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents, each written to the shared folder and read again; only the last one's output is left there."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        release(spark)
+        path = new_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            drop(spark, before)
+        before = path
     return docs
 
 
