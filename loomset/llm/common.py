@@ -1,14 +1,11 @@
-"""Shared pieces: table access, shared-folder stashes, vectorised tokenising, grouping of sorted Arrow batches."""
+"""Shared pieces: table access, vectorised tokenising, grouping of sorted Arrow batches, connected components."""
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
+import hashlib
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +14,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomset.scratch import drop, stash_path
+
 CHUNK_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -32,46 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests), a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        local = tempfile.mkdtemp(prefix="loomset-")
-        atexit.register(shutil.rmtree, local, ignore_errors=True)
-        found = f"file://{local}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
-    return df.sparkSession.read.schema(df.schema).parquet(stash_path(df, name))
-
-
-def stash_path(df: DataFrame, name: str) -> str:
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _STASHED.append(path)
-    return path
-
-
-_STASHED: list[str] = []
-
-
-def release(spark: SparkSession) -> None:
-    """Delete all stashes so far: once the results that were made from them are written."""
-    for path in list(_STASHED):
-        drop_stash(spark, path)
-
-
-def drop_stash(spark: SparkSession, path: str) -> None:
-    """Delete a stash that nothing reads any more."""
-    if path in _STASHED:
-        _STASHED.remove(path)
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def trimmed(run):
     """A function for mapInArrow that gives its memory back to the system at its end, as workers live on for later stages."""
 
@@ -136,6 +95,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Keys of the hash of words, and masks of the first bytes of eight.
+_KEY = [np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0x3C79AC492BA7B653, 0x1C69B3F74AC4AE35)]
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+LONG = 256
+
 _R = 0x9E3779B97F4A7C15 | 1
 
 
@@ -150,6 +114,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return kept["p"], kept["q"]
 
 
+def lanes(b: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of b on as an integer; beyond its end are zeros."""
+    pad = np.zeros(len(b) + 8, dtype=np.uint8)
+    pad[: len(b)] = b
+    return np.ndarray(len(b) + 1, dtype="<u8", buffer=pad, strides=(1,))
+
+
 class Words:
     """Words of a run of documents: start and end byte, document, and 64-bit hash of the lower-cased (A-Z) bytes."""
 
@@ -173,15 +144,48 @@ class Words:
             self.hash = self._hash(low)
 
     def _hash(self, low: np.ndarray) -> np.ndarray:
-        p, q = _powers(len(low) + 1)
-        run = np.zeros(len(low) + 1, dtype=np.uint64)
-        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * p[: len(low)], out=run[1:])
-        return mix((run[self.end] - run[self.start]) * q[self.start])
+        """Eight bytes at a time, each through a bijection of what came before; words over LONG bytes by BLAKE2."""
+        size = self.end - self.start
+        lane = lanes(low)
+        out = mix(size.astype(np.uint64) * _KEY[0] + _KEY[1])
+        k = np.flatnonzero(size <= LONG) if len(size) and size.max() > LONG else None
+        at, left = (self.start, size) if k is None else (self.start[k], size[k])
+        h = out if k is None else out[k]
+        while len(at):
+            now = mix((h ^ (lane[at] & _MASK[np.minimum(left, 8)])) * _KEY[2])
+            if k is None:
+                out = now
+            else:
+                out[k] = now
+            more = np.flatnonzero(left > 8)
+            k = more if k is None else k[more]
+            at, left, h = at[more] + 8, left[more] - 8, now[more]
+        for w in np.flatnonzero(size > LONG):
+            out[w] = int.from_bytes(hashlib.blake2b(self.text(w), digest_size=8, key=b"loomset").digest(), "little")
+        return out
 
     def text(self, i: int) -> bytes:
         return self.low[self.start[i] : self.end[i]].tobytes()
 
 
+def same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether the words i of a and j of b, pair by pair, are the same bytes."""
+    size = a.end[i] - a.start[i]
+    same = size == b.end[j] - b.start[j]
+    live = np.flatnonzero(same)
+    for k in live[size[live] > 1 << 12]:
+        same[k] = a.text(i[k]) == b.text(j[k])
+    live = live[size[live] <= 1 << 12]
+    x, y, at = lanes(a.low), lanes(b.low), 0
+    while len(live):
+        left = _MASK[np.minimum(size[live] - at, 8)]
+        ok = ((x[a.start[i[live]] + at] ^ y[b.start[j[live]] + at]) & left) == 0
+        same[live[~ok]] = False
+        at += 8
+        live = live[ok & (size[live] > at)]
+    return same
+
+
 _SHINGLE = [np.uint64(x | 1) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -282,11 +286,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         low = spark.read.schema("u long, m long").parquet(large)
         e = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         path, spent = stash_path(e, "cc"), path
-        drop_stash(spark, spent)
+        drop(spark, spent)
         e = spark.read.schema("u long, v long").parquet(path)
         small = stash_path(e.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         low = spark.read.schema("u long, m long").parquet(small)
         e = e.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
         path, spent = stash_path(e, "cc"), path
         for p in (spent, large, small):
-            drop_stash(spark, p)
+            drop(spark, p)

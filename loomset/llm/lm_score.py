@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, chunks, mix, plain, stash, trimmed, utf8, whole, Words
+from loomset.llm.common import _LOWER, chunks, mix, plain, trimmed, utf8, whole, Words
 from loomset.llm.language import held_out
+from loomset.scratch import stash
 
 DEPTH, GRAMS, WORDS, RUN = 5, 3 << 17, 1 << 16, 2 << 20
 SPLIT, BLOCK = 3, 1 << 17

@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import chunks, connected_components, groups, shingle_sets, stash, trimmed, utf8, Words
+from loomset.llm.common import chunks, connected_components, groups, shingle_sets, trimmed, utf8, Words
+from loomset.scratch import stash
 
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS

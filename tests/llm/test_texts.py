@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF, rows_of
-from loomset.llm import decontaminate, language, lm_score, quality, token_counts
+from loomset.llm import common, decontaminate, language, lm_score, near_dedup, quality, token_counts
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -40,9 +40,46 @@ def brute_hits(docs, items, n=10):
     return sorted(out, key=repr)
 
 
+#: Two words of 1,024 letters that a polynomial hash modulo 2^64 takes for one.
+THUE = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+MORSE = THUE.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_fool_a_polynomial_hash(spark):
+    words = common.Words(np.frombuffer(f"{THUE} {MORSE} {THUE}".encode(), np.uint8), np.array([0, 3 * 1024 + 2]))
+    assert words.hash[0] == words.hash[2] != words.hash[1]
+    docs = spark.createDataFrame([(2, THUE), (3, MORSE), (4, THUE)], "doc_id long, text string")
+    got = decontaminate.contamination(docs, spark.createDataFrame([(1, MORSE)], "item_id long, text string"))
+    assert rows_of(got, "doc_id", "n_hit") == [(2, 0), (3, 1), (4, 0)]
+    assert {r.doc_id: r.n_known for r in lm_score.lm_scores(docs.where("doc_id <> 4")).collect()} == {r.doc_id: (2 if not r.held_out else 1) for r in lm_score.lm_scores(docs.where("doc_id <> 4")).collect()}
+    assert rows_of(near_dedup.near_duplicates(docs), "doc_id", "component_id") == [(2, 2), (3, 3), (4, 2)]
+
+
+def test_hash_of_words_tells_them_apart():
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("abAB\0é") for _ in range(r.choice([1, 2, 3, 7, 8, 9, 16, 17, 40, 255, 256, 257, 600]))) for _ in range(5000)})
+    b = "\n".join(words).encode()
+    w = common.Words(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
+    low = [x.translate(LOWER) for x in words]
+    assert len(set(zip(w.hash.tolist(), low, strict=True))) == len(set(low)) == len(set(w.hash.tolist()))
+    same = common.same_words(w, np.arange(len(words)), w, np.arange(len(words))[::-1].copy())
+    assert same.tolist() == [a == b for a, b in zip(low, low[::-1], strict=True)]
+
+
+def test_bytes_are_compared_where_hashes_agree(spark, monkeypatch):
+    """With a hash of words that tells nothing apart but lengths, hits are the same."""
+    rows, items = [(1, "aa bb cc dd"), (2, "aa bb xx dd"), (3, "zz bb cc")], [(1, "bb cc"), (2, "xx")]
+    monkeypatch.setattr(common, "mix", lambda x: x * np.uint64(0) + np.uint64(1))
+    w = decontaminate._words([t.encode() for _, t in rows])
+    index = decontaminate.Index(np.array(["1", "2"], dtype=object), decontaminate._words([t.encode() for _, t in items]), 10, np.zeros(decontaminate.SLOTS, np.int64))
+    at, k = index.hits(w)
+    assert sorted((int(w.doc[p]), index.ids[index.item[j]]) for p, j in zip(at, k, strict=True)) == [(0, "1"), (1, "2"), (2, "1")]
+
+
 @pytest.mark.parametrize("block", [1 << 20, 60])
 def test_contamination(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    monkeypatch.setattr(decontaminate, "PIECE", 1 << 16 if block > 60 else 7)
     r = random.Random(1)
     words = lambda n: [r.choice(["a", "B", "c9", "d", "é"]) for _ in range(n)]
     items = [(k, " ".join(words(r.choice([1, 3, 9, 10, 14, 30])))) for k in range(12)] + [(None, " ".join(words(12))), (50, None), (51, "?!"), (3, " ".join(words(11)))]
@@ -240,6 +277,23 @@ def test_token_counts(spark, block):
     assert rows_of(got) == sorted(((i, len(t.encode(x or ""))) for i, x in rows), key=repr)
 
 
+def test_token_files_hold_few_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_counts, "RUN", 400)
+    monkeypatch.setattr(token_counts, "FILE_RUNS", 2)
+    rows = [(i, "some words " * (i % 9) + "x" * (2000 if i == 50 else 1)) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    token_counts.write_tokens(df, str(tmp_path / "t"))
+    sizes = [p.stat().st_size for p in (tmp_path / "t").glob("part-*")]
+    assert len(sizes) > 3 and sorted(sizes)[-2] <= 2 * 402
+    t = token_counts.Tokenizer(token_counts.ranks_of(token_counts.VOCABULARY))
+    assert rows_of(token_counts.scan_tokens(spark, str(tmp_path / "t"))) == sorted(((i, len(t.encode(x))) for i, x in rows), key=repr)
+
+
+def test_torn_token_file_is_told(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(np.array([5, 6, 0, *token_counts.header(8), 9, 0], dtype="<u2").tobytes())
+    assert rows_of(token_counts.scan_tokens(spark, str(tmp_path))) == sorted([(None, None), (8, 1)], key=repr)
+
+
 def test_token_file_without_its_last_end(spark, tmp_path):
     one = np.array([*token_counts.header(7), 5, 6, 0, *token_counts.header(8), 9], dtype="<u2")
     (tmp_path / "a.bin").write_bytes(one.tobytes())
