@@ -5,16 +5,18 @@ contained in a document only if all its words are, so by the prefix principle on
 by rarity over all documents, and each window is indexed under its rarest word alone. A document probes with those
 of its words that are some window's rarest. The bounds follow at once: length, since the window must lie within the
 document; and position, since the word's offset in the window fixes where the window would start. Each survivor is
-verified: the window's words are compared at that place, as 64-bit word hashes, all of them.
+verified: the window's words are compared at that place, first by 64-bit hashes, then byte by byte, all of them.
 
-Scale: documents are never shuffled. The benchmark is dealt into blocks of at most BLOCK_WORDS words (whole items), so that
-what is broadcast is bounded for any benchmark; one pass over the documents is made for each block, and the per-document
-hits of several blocks are united. Word frequencies are counted over all documents, but only of benchmark words, and are
-summed before the shuffle.
+Scale: documents are never shuffled. Rarity is counted once, over all documents, in a table of SLOTS counts by hash (words that
+share a slot share a rank, which changes the order and no result), summed before the shuffle. The benchmark is dealt into
+blocks of about BLOCK_WORDS words, so that what is broadcast is bounded for any benchmark; an item beyond PIECE words is cut
+into pieces that overlap by a window less a word. Each block is one pass over the documents, and a row carries what was hit
+from pass to pass, so rows need no identity. The driver holds a block at a time, and one item's text.
 
 Nulls and edge cases: null or wordless items have no window; null or wordless documents have no words and no hits. Items
 with a null id mark words but have no id to list. Repeated item ids count once; repeated documents are rows of their own.
-An empty benchmark or document table gives clean documents or no rows. Only id and text are read.
+An empty benchmark or document table gives clean documents or no rows. Very long texts are read whole. Only id and text are
+read, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.common import ALNUM, chunks, plain, stash, trimmed, utf8, whole, Words
+from loomset.llm.common import ALNUM, chunks, plain, same_words, trimmed, utf8, whole, Words
+from loomset.scratch import stash
 
-#: Words of a benchmark block: at most about 80 MB broadcast. A longer item is a block of its own.
-BLOCK_WORDS = 1 << 20
+#: Words of a benchmark block (about 100 MB broadcast), words of an item's piece, and slots of the table of rarity.
+BLOCK_WORDS, PIECE, SLOTS = 1 << 20, 1 << 16, 1 << 20
 
 
 def _words_of(batch: pa.RecordBatch, text: int) -> Iterator[tuple[int, int, Words]]:
@@ -63,34 +66,26 @@ class Member:
 
 
 class Index:
-    """The windows of one block under their rarest words."""
-
-    def __init__(self, ids: np.ndarray, words: Words, n: int, vocab: np.ndarray, freq: np.ndarray):
-        ok = words.count > 0
-        self.words = words.hash
-        at, there = _found(vocab, self.words)
-        often = np.where(there, freq[at] if len(freq) else 0, 0)
-        start, length, item = [], [], []
-        for d in np.flatnonzero(ok):
-            a, c = int(words.first[d]), int(words.count[d])
-            k = max(1, c - n + 1)
-            start.append(np.arange(a, a + k))
-            length.append(np.full(k, min(n, c)))
-            item.append(np.full(k, d))
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        self.start, self.length, self.item, self.ids = cat(start), cat(length), cat(item), ids
-        rank = np.lexsort((self.words, often)).argsort()  # rarest first, ties by hash: the same word in every window
-        best = np.full(len(self.start), np.iinfo(np.int64).max)
-        off = np.zeros(len(self.start), dtype=np.int64)
-        for o in range(int(self.length.max(initial=0))):
-            live = np.flatnonzero(self.length > o)
-            r = rank[self.start[live] + o]
+    """The windows of one block under their rarest words. ids: of each text of words; often: how often a slot's words occur."""
+
+    def __init__(self, ids: np.ndarray, words: Words, n: int, often: np.ndarray):
+        self.ids, self.words = ids, words
+        full = np.flatnonzero(words.count)
+        c = words.count[full]
+        k = np.maximum(1, c - n + 1)
+        start = np.repeat(words.first[full] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+        length, item = np.repeat(np.minimum(n, c), k), np.repeat(full, k)
+        rank = np.lexsort((words.hash, often[_slot(words.hash)])).argsort()  # rarest first
+        best = np.full(len(start), np.iinfo(np.int64).max)
+        off = np.zeros(len(start), dtype=np.int64)
+        for o in range(int(length.max(initial=0))):
+            live = np.flatnonzero(length > o)
+            r = rank[start[live] + o]
             better = r < best[live]
             best[live[better]], off[live[better]] = r[better], o
-        self.off = off
-        key = self.words[self.start + off] if len(off) else np.zeros(0, np.uint64)
+        key = words.hash[start + off] if len(off) else np.zeros(0, np.uint64)
         order = np.argsort(key, kind="stable")
-        self.start, self.length, self.item, self.off = (x[order] for x in (self.start, self.length, self.item, self.off))
+        self.start, self.length, self.item, self.off = (x[order] for x in (start, length, item, off))
         self.member = Member(key)
         self.low = np.searchsorted(key[order], self.member.values, side="left")
         self.high = np.searchsorted(key[order], self.member.values, side="right")
@@ -98,64 +93,90 @@ class Index:
     def hits(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Of each window that occurs: its first word's place in w, and its number."""
         at, place = self.member.where(w.hash)
-        out_at, out_k = [], []
-        for i in range(0, len(at), 200_000):
-            p, q = at[i : i + 200_000], place[i : i + 200_000]
-            n = self.high[q] - self.low[q]
-            k = np.repeat(self.low[q], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            p = np.repeat(p, n)
-            doc = w.doc[p]
-            p = p - self.off[k]
-            ok = (p >= w.first[doc]) & (p + self.length[k] <= w.first[doc + 1])
-            p, k = p[ok], k[ok]
-            for o in range(int(self.length.max(initial=0))):
-                far = self.length[k] > o
-                same = ~far | (w.hash[np.minimum(p + o, len(w.hash) - 1)] == self.words[np.minimum(self.start[k] + o, len(self.words) - 1)])
+        n = self.high[place] - self.low[place]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        cuts = np.unique(np.searchsorted(np.cumsum(n), np.arange(1 << 20, int(n.sum()) + (1 << 20), 1 << 20)) + 1) if len(n) else []
+        i = 0
+        for j in cuts:
+            found.append(self._verified(w, at[i:j], place[i:j], n[i:j]))
+            i = j
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _verified(self, w: Words, p: np.ndarray, q: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = np.repeat(self.low[q], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        p = np.repeat(p, n)
+        doc = w.doc[p]
+        p = p - self.off[k]
+        ok = (p >= w.first[doc]) & (p + self.length[k] <= w.first[doc + 1])
+        p, k = p[ok], k[ok]
+        longest = int(self.length.max(initial=0))
+        for exact in (False, True):  # hashes turn away, bytes confirm
+            for o in range(longest):
+                within = np.flatnonzero(self.length[k] > o)
+                i, j = p[within] + o, self.start[k[within]] + o
+                same = np.ones(len(p), dtype=bool)
+                same[within] = same_words(w, i, self.words, j) if exact else w.hash[i] == self.words.hash[j]
                 p, k = p[same], k[same]
-            out_at.append(p)
-            out_k.append(k)
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        return cat(out_at), cat(out_k)
+        return p, k
 
 
-def _blocks(bench: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Whole items, up to BLOCK_WORDS words at a time."""
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _words(texts: list[bytes]) -> Words:
+    return Words(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)]), ALNUM)
+
+
+def _pieces(text: bytes, n: int) -> Iterator[bytes]:
+    """The text, or runs of PIECE windows of n words if it has more; each window is in one run."""
+    if len(text) <= 2 * PIECE:
+        yield text
+        return
+    w = _words([text])
+    for i in range(0, max(1, len(w.start) - n + 1), PIECE):
+        last = min(i + PIECE + n - 1, len(w.start)) - 1
+        yield text[w.start[i] : w.end[last]] if last >= 0 else b""
+
+
+def _blocks(bench: DataFrame, id_col: str, text_col: str, n: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Ids and texts of items, or of pieces of long ones, about BLOCK_WORDS words at a time."""
     ids, texts, size = [], [], 0
     for row in bench.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("t is not null").toLocalIterator():
-        t = row.t.encode()
-        ids.append(row.i)
-        texts.append(t)
-        size += len(t) // 2 + 1
-        if size >= BLOCK_WORDS:
-            yield np.array(ids, dtype=object), texts
-            ids, texts, size = [], [], 0
+        for t in _pieces(row.t.encode(), n):
+            ids.append(row.i)
+            texts.append(t)
+            size += len(t) // 2 + 1
+            if size >= BLOCK_WORDS:
+                yield np.array(ids, dtype=object), texts
+                ids, texts, size = [], [], 0
     if ids:
         yield np.array(ids, dtype=object), texts
 
 
-def _block_words(texts: list[bytes]) -> Words:
-    offs = np.cumsum([0, *map(len, texts)])
-    return Words(np.frombuffer(b"".join(texts), dtype=np.uint8), offs, ALNUM)
-
-
-def _frequencies(docs: DataFrame, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of each benchmark word in all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+def _counted(wanted):
+    """Counts by slot of the words of a column of texts; wanted: a broadcast of the slots to count, or None."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        member = Member(shared.value)
-        n = np.zeros(len(member.values), dtype=np.int64)
+        n = np.zeros(SLOTS, dtype=np.int64)
+        keep = np.unpackbits(wanted.value).astype(bool) if wanted is not None else None
         for batch in batches:
             for _, _, w in _words_of(batch, 0):
-                np.add(n, np.bincount(member.where(w.hash)[1], minlength=len(n)), out=n)
+                s = _slot(w.hash)
+                n += np.bincount(s if keep is None else s[keep[s]], minlength=SLOTS)
         k = np.flatnonzero(n)
-        yield pa.record_batch([pa.array(member.values[k].view(np.int64)), pa.array(n[k])], ["h", "n"])
+        yield pa.record_batch([pa.array(k.astype(np.int64)), pa.array(n[k])], ["s", "n"])
+
+    return run
+
 
-    rows = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).toPandas()
-    h = rows["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    return h[order], rows["n"].to_numpy(np.int64)[order]
+def _slots(texts: DataFrame, text_col: str, wanted=None) -> np.ndarray:
+    """How often the words of each slot occur; at most SLOTS rows come to the driver."""
+    rows = texts.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted(wanted), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(SLOTS, dtype=np.int64)
+    out[rows["s"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
 
 
 def _digest(ids: list[str]) -> str:
@@ -163,36 +184,39 @@ def _digest(ids: list[str]) -> str:
 
 
 def _probe(index, last: bool, keep_text: bool):
+    """One pass. Rows are id, text and, after the first pass, hit (places of words) and items; the last gives the results."""
+
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = whole(index.value, Index, Member)
+        ix = whole(index.value, Index, Member, Words)
         for batch in batches:
             for i, j, w in _words_of(batch, 1):
                 at, k = ix.hits(w)
-                hit = np.zeros(len(w.hash) + 1, dtype=np.int64)
-                np.add.at(hit, at, 1)
-                np.add.at(hit, at + ix.length[k], -1)
-                hit = np.cumsum(hit)[:-1] > 0
-                n_hit = np.bincount(w.doc[hit], minlength=j - i)
-                items: list[list[str]] = [[] for _ in range(j - i)]
-                doc = w.doc[at] if len(at) else np.zeros(0, np.int64)
-                for pair in np.unique(np.stack([doc, ix.item[k]], 1), axis=0) if len(at) else ():
-                    if (name := ix.ids[pair[1]]) is not None:
-                        items[pair[0]].append(name)
-                items = [sorted(set(x)) for x in items]
-                ids = batch.column(0).take(pa.array(np.arange(i, j)))  # a slice of a struct would be sent with all its rows
-                cols = [ids, pa.array(w.count.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array(items, pa.list_(pa.string()))]
+                edge = np.bincount(at, minlength=len(w.hash) + 1) - np.bincount(at + ix.length[k], minlength=len(w.hash) + 1)
+                hit = np.cumsum(edge)[:-1] > 0
+                items: list[set[str]] = [set() for _ in range(j - i)]
+                if batch.num_columns > 2:
+                    for d, (places, names) in enumerate(zip(batch.column(2).slice(i, j - i), batch.column(3).slice(i, j - i).to_pylist(), strict=True)):
+                        hit[w.first[d] + places.values.to_numpy()] = True
+                        items[d].update(names)
+                pair = np.unique(w.doc[at] * len(ix.ids) + ix.item[k]) if len(at) else np.zeros(0, np.int64)
+                for d, item in zip(*divmod(pair, max(1, len(ix.ids))), strict=True):
+                    if (name := ix.ids[item]) is not None:
+                        items[d].add(name)
+                names = [sorted(x) for x in items]
+                out = {"id": batch.column(0).take(pa.array(np.arange(i, j)))}  # a slice of a struct would be sent with all its rows
                 if last:
-                    cols.append(pa.array([_digest(x) for x in items]))
-                else:  # the words that are hit, as places in the document
+                    out["n_words"] = pa.array(w.count.astype(np.int64))
+                    out["n_hit"] = pa.array(np.bincount(w.doc[hit], minlength=j - i).astype(np.int64))
+                    out["items"] = pa.array(names, pa.list_(pa.string()))
+                    out["digest"] = pa.array([_digest(x) for x in names])
+                    if keep_text:
+                        out["text"] = batch.column(1).slice(i, j - i)
+                else:
                     cuts = np.searchsorted(np.flatnonzero(hit), w.first)
                     where = np.flatnonzero(hit) - np.repeat(w.first[:-1], np.diff(cuts))
-                    cols.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(where, pa.int64())))
-                names = ["id", "n_words", "n_hit", "items", "digest" if last else "hit"]
-                if keep_text:
-                    cols.append(batch.column(1).slice(i, j - i))
-                    names.append("text")
-                yield pa.record_batch(cols, names)
+                    out |= {"text": batch.column(1).slice(i, j - i), "hit": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(where, pa.int64())), "items": pa.array(names, pa.list_(pa.string()))}
+                yield pa.record_batch(list(out.values()), list(out))
 
     return run
 
@@ -200,33 +224,22 @@ def _probe(index, last: bool, keep_text: bool):
 def contamination(docs: DataFrame, bench: DataFrame, words: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items (sorted as strings), items_sha256, contaminated; its text if asked."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = docs.schema["id"].dataType.simpleString()
-    blocks = _blocks(bench, item_col, item_text_col)  # one or two are held at a time
-    ahead = list(itertools.islice(blocks, 2)) or [(np.zeros(0, object), [])]
-    several = len(ahead) > 1
-    if several:
-        docs = docs.withColumn("row", F.struct("id", F.sha2("text", 256).alias("sha")))
-    out = None
-    for ids, texts in itertools.chain(ahead, blocks):
-        w = _block_words(texts)
-        vocab, freq = _frequencies(docs, np.unique(w.hash)) if len(w.hash) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        index = spark.sparkContext.broadcast(plain(Index(ids, w, words, vocab, freq)))
-        extra = "hit array<bigint>" if several else "digest string, text string" if keep_text else "digest string"
-        part = docs.select("row" if several else "id", "text").mapInArrow(_probe(index, not several, keep_text and not several), f"id {docs.schema['row'].dataType.simpleString() if several else kind}, n_words long, n_hit long, items array<string>, {extra}")
-        if not several:
-            out = part
-            break
-        part = stash(part, "hits")
-        out = part if out is None else out.union(part)
-    if several:
-        # Repeated rows (same id and text) fold to one and are dealt out again.
-        united = out.groupBy("id").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        united = united.select("id", "n_words", F.size("hit").cast("long").alias("n_hit"), "items", F.sha2(F.array_join("items", ","), 256).alias("digest"))
-        united = united.withColumnRenamed("id", "key")
-        out = docs.select("row", "text").join(united, F.col("row").eqNullSafe(F.col("key"))).select(F.col("row.id").alias("id"), "n_words", "n_hit", "items", "digest", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    wanted = spark.sparkContext.broadcast(np.packbits(_slots(bench, item_text_col) > 0))
+    often = _slots(rows, "text", wanted)
+    blocks = itertools.chain(_blocks(bench, item_col, item_text_col, words), [None])
+    block = next(blocks) or (np.zeros(0, object), [])
+    while block is not None:
+        after = next(blocks, None)
+        index = spark.sparkContext.broadcast(plain(Index(block[0], _words(block[1]), words, often)))
+        if after is not None:
+            rows = stash(rows.mapInArrow(_probe(index, False, True), f"id {kind}, text string, hit array<bigint>, items array<string>"), "hits")
+        else:
+            rows = rows.mapInArrow(_probe(index, True, keep_text), f"id {kind}, n_words long, n_hit long, items array<string>, digest string" + ", text string" * keep_text)
+        block = after
     text = ["text"] if keep_text else []
-    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", F.col("digest").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), *text)
+    return rows.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", F.col("digest").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), *text)
 
 
 ORACLE = r"""
