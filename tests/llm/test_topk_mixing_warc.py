@@ -1,4 +1,6 @@
 import base64
+import fractions
+import gzip
 import hashlib
 import math
 import random
@@ -17,7 +19,7 @@ def brute_top(vectors, queries, k):
     def q(v):
         if v is None or any(x is None or not math.isfinite(x) for x in v):
             return None
-        return [math.floor(64 * float(x)) for x in v]
+        return [math.floor(64 * fractions.Fraction(x)) for x in v]
 
     cand = [(i, q(v)) for i, v in vectors if i is not None and q(v) is not None]
     out = []
@@ -44,13 +46,49 @@ def test_top_k(spark, monkeypatch, dims):
 
 def test_top_k_stops_early():
     r = np.random.default_rng(2)
-    x = r.integers(-5, 5, (5000, 3))
+    x = r.integers(-5, 5, (5000, 3)).astype(np.float64)
     x[17] = [900, 900, 900]
     lists = topk.Lists(np.arange(5000), x)
-    scored = []
-    lists.met = lambda depth, f=lists.met: scored.append(depth) or f(depth)
-    ((_, ids, score),) = lists.search(np.array([-1]), np.array([[10, 10, 10]]), 1)
-    assert (ids[0], score[0]) == (17, 27000) and max(scored) < 5000
+    ((_, ids, score),) = lists.search(np.array([-1]), np.array([[10.0, 10, 10]]), 1)
+    assert (ids[0], score[0]) == (17, 27000) and lists.stopped == 1 and lists.scored < 100
+    # a kth score known from elsewhere leaves the block out
+    lists.scored = 0
+    ((_, ids, _),) = lists.search(np.array([-1]), np.array([[10.0, 10, 10]]), 1, np.array([27001.0]))
+    assert len(ids) == 0 and lists.scored == 0
+
+
+def test_bound_reads_no_more_than_it_must():
+    """The bound that the plan stops at holds for all that is not met, and one step less would not do."""
+    r = np.random.default_rng(3)
+    x, q = np.floor(r.normal(0, 20, (3000, 4))), np.floor(r.normal(0, 20, (50, 4)))
+    lists = topk.Lists(np.arange(3000), x)
+    scores = q @ x.T
+    least = np.sort(scores, axis=1)[:, -5]
+    depth, stops = lists.plan(q, least)
+    met = lists.met(q, depth)
+    for k in range(50):
+        if stops[k]:
+            assert scores[k][~met[k]].max() < least[k] and (depth[k] < 3000).all()
+
+
+def test_top_k_of_large_numbers(spark):
+    vectors = [(i, [float(v), float(i % 7)]) for i, v in enumerate([1e3, -1e3, 2.0**50, 2.0**51 + 2, 1e17, 1e150, -1e150, 1e306, 1.7e308, 3.5])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    most = (1 << 63) - 1
+    want = [(i, r, j, max(-most - 1, min(most, s))) for i, r, j, s in brute_top(vectors, vectors, 20)]
+    got = topk.top_k(df, df).collect()
+    scores = {(i, j): s for i, _, j, s in want}
+    assert len(got) == 90 and all(scores[r.query_id, r.vec_id] == r.score for r in got)
+    for i in range(10):
+        mine = sorted((r["rank"], -r.score, r.vec_id) for r in got if r.query_id == i)
+        assert [m[1:] for m in mine] == sorted(m[1:] for m in mine)
+
+
+def test_top_k_of_repeated_queries(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [3.0, 5.0]), (3, [5.0, 3.0]), (3, [5.0, 3.0])]
+    df = spark.createDataFrame([(a, b, 0, "x") for a, b in rows], "vec_id long, embedding array<float>, rank int, key string")
+    got = rows_of(topk.top_k(df, df.where("vec_id = 1"), 3, 1), "rank", "vec_id", "score")
+    assert got == sorted([(1, 3, 5), (2, 3, 5), (3, 2, 3), (1, 2, 5), (2, 3, 3), (3, 3, 3)], key=repr)
 
 
 def test_top_k_empty(spark):
@@ -91,7 +129,13 @@ def test_mix(spark):
     for row in got.groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("g"), F.sum("size").alias("s"), F.max("source_size").alias("n")).collect():
         assert row.t == math.floor(row.g) and row.s == row.n
     at = [x[0] for x in got.select("position").collect()]
-    assert at == sorted(at)
+    assert at == sorted(at, key=lambda x: (x is None, x))
+    # each taken pass has a position, and nothing else has
+    assert got.where("(taken > 0) <> (position is not null) or (taken > size) <> (again is not null) or again <= position").count() == 0
+    order = mixing.training_order(got)
+    assert order.agg(F.sum("words")).first()[0] == got.agg(F.sum("taken")).first()[0]
+    at = [x[0] for x in order.select("at").collect()]
+    assert at == sorted(at) and len(at) == got.where("position is not null").count() + got.where("again is not null").count()
 
 
 def test_schedule_is_inverted(spark):
@@ -133,6 +177,39 @@ def test_round_trip(spark, least, segment):
     assert rows_of(warc.page_records(df, least, segment)) == brute_pages(pages, least)
 
 
+def test_archives_are_gzip_by_record_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE", 50_000)
+    pages = spark.createDataFrame([(i, f"http://x/{i % 30}", "y" * 4000 + str(i % 30)) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "w"), segment=1500)
+    files = sorted((tmp_path / "w").glob("part-*"))
+    assert len(files) > 5
+    heads = []
+    for f in files:
+        data = f.read_bytes()
+        assert gzip.decompress(data).startswith(b"WARC/1.1")
+        parts = list(warc.members(data, step=100))
+        assert all(len(list(warc.parse(p))) == 1 for p in parts) and len(parts) <= 9
+        heads += [h for p in parts for h, _ in warc.parse(p)]
+    ids = {h["warc-record-id"]: h for h in heads}
+    assert len(ids) == len(heads)
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert len(revisits) == 30 and all(ids[h["warc-refers-to"]]["x-page-id"] == h["x-refers-to-page-id"] for h in revisits)
+
+
+def test_torn_archives_are_told(spark, tmp_path):
+    pages = spark.createDataFrame([(i, None, "z" * 50) for i in range(3)], "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "w"))
+    (f,) = (tmp_path / "w").glob("part-*")
+    data = f.read_bytes()
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.gz").write_bytes(data[:-20])
+    (tmp_path / "x" / "b.warc").write_bytes(gzip.decompress(data)[:-30])
+    (tmp_path / "x" / "c.warc").write_bytes(b"no archive")
+    got = rows_of(warc.read_warc(spark, str(tmp_path / "x")), "kind", "status")
+    assert sorted(k for k, _ in got) == ["response"] * 2 + ["revisit"] * 2 + ["torn"] * 3
+    assert all(s.startswith("broken: ") for k, s in got if k == "torn")
+
+
 def test_empty_table(spark):
     assert warc.page_records(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
