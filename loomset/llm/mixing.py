@@ -7,8 +7,10 @@ closed form over the sources ordered by capacity per weight).
 Curriculum: training time runs from 0 to 1. Source s is drawn at rate target_s * (a_s + (b_s - a_s) t), where (a_s, b_s)
 is its weight schedule, scaled to (a_s + b_s) / 2 = 1. Its integral, target_s * (a_s t + (b_s - a_s) t^2 / 2), is the
 source's cumulative demand. A source's documents lie in a fixed random order (md5 of the id, then id and size) on the
-axis of its words, which is run through up to twice; the demand up to a document's first word is inverted for its time,
-and the time gives its position among all training tokens. Documents are range-sorted by position.
+axis of its words, which is run through up to twice. In each pass the demand up to a document's first word is inverted for its
+time, and the time gives its position among all training tokens: `position` in the first pass, `again` in the second, each null
+where the pass takes no word of the document. Documents are range-sorted by position, those that are not taken last;
+`training_order` gives a row for each taken pass, range-sorted.
 
 taken: of each pass over a source, the part of a document's words that lies before the target. Sums of taken are each
 target rounded down; a document gives at most its size in each of two passes.
@@ -17,7 +19,7 @@ Scale: the running word count of a source is a two-level prefix sum: documents f
 their hash, buckets are summed before the shuffle, and only one row for each bucket is put in order within its source.
 No task holds a source. The source table has one row for each source and is the only thing ordered in one place.
 
-Nulls and edge cases: null or empty text has size 0, and takes 0 words; its position is that of the word that follows.
+Nulls and edge cases: null or empty text has size 0, takes 0 words and has no position. Very long texts are counted whole.
 A null source is a source, the last. Null and repeated ids are allowed; rows that are equal in id and size are
 interchangeable. An empty table gives an empty result. Clashing input columns are replaced by ours.
 """
@@ -27,7 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.common import stash
+from loomset.scratch import stash
+
 
 BUCKET = 2000
 WEIGHTS = (3, 1, 2)
@@ -59,17 +62,17 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     a, b = (_pick(F.col("rank"), tuple(x[k] for x in SCHEDULE)) for k in (0, 1))
     s = s.withColumn("a", 2 * a / (a + b)).withColumn("b", 2 * b / (a + b))
     # words of all sources up to time t: flow * t + bend * t^2
-    s = s.withColumn("flow", F.sum(F.col("target") * F.col("a")).over(every)).withColumn("bend", F.sum(F.col("target") * (F.col("b") - F.col("a")) / 2).over(every))
+    end = F.floor("target")  # whole words, so that sums don't depend on their order
+    s = s.withColumn("flow", F.sum(end * F.col("a")).over(every)).withColumn("bend", F.sum(end * (F.col("b") - F.col("a")) / 2).over(every))
     return s.select("source", "source_size", "target", "a", "b", "flow", "bend")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
-    """One row per document, range-sorted by position (of its first word in training order): carry, size, source_size,
-    target, taken, position.
+    """One row per document, range-sorted by position: carry, size, source_size, target, taken, position, again.
 
     carry: columns of docs to keep; by default all but the text, which then is read once and never shuffled.
     """
-    kept = [c for c in (carry or [c for c in docs.columns if c != text_col]) if c not in ("size", "source_size", "target", "taken", "position")]
+    kept = [c for c in (carry or [c for c in docs.columns if c != text_col]) if c not in ("size", "source_size", "target", "taken", "position", "again")]
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = docs.select(*kept, word_count(F.col(text_col)).alias("size"), F.struct(F.col(source_col).alias("source"), key.alias("key"), F.col(id_col).alias("id")).alias("_x"))
     if text_col not in kept:
@@ -98,11 +101,27 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def part(at: Column) -> Column:
         return F.greatest(zero, F.least(F.col("size"), end - at))
 
-    a, b, c = F.col("p.a"), F.col("p.b"), F.coalesce(F.least(F.lit(1.0), F.try_divide("_c", "p.target")), F.lit(0.0))
-    t = F.when(a == b, c).otherwise((F.sqrt(a * a + 2 * (b - a) * c) - a) / (b - a))
-    at = F.coalesce(F.floor(F.col("p.flow") * t + F.col("p.bend") * t * t), zero).cast("long")
-    out = dealt.select(*kept, "size", F.col("p.source_size").alias("source_size"), F.col("p.target").alias("target"), (part(F.col("_c")) + part(F.col("_c") + F.col("p.source_size"))).alias("taken"), at.alias("position"))
-    return out.repartitionByRange("position", id_col).sortWithinPartitions("position", id_col)
+    a, b = F.col("p.a"), F.col("p.b")
+
+    def position(at: Column) -> Column:
+        c = F.try_divide(at, end)
+        t = F.when(a == b, c).otherwise((F.sqrt(a * a + 2 * (b - a) * c) - a) / (b - a))
+        return F.when(part(at) > 0, F.floor(F.col("p.flow") * t + F.col("p.bend") * t * t).cast("long"))
+
+    one, two = F.col("_c"), F.col("_c") + F.col("p.source_size")
+    out = dealt.select(*kept, "size", F.col("p.source_size").alias("source_size"), F.col("p.target").alias("target"), (part(one) + part(two)).alias("taken"), position(one).alias("position"), position(two).alias("again"))
+    order = [F.coalesce("position", F.lit((1 << 63) - 1)), F.col(id_col)] if id_col in kept else [F.coalesce("position", F.lit((1 << 63) - 1))]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def training_order(mixed: DataFrame) -> DataFrame:
+    """mixed of `mix_sources` -> a row for each pass that takes words of a document: its columns, with `at` for position and
+    again, and `words` for taken; range-sorted by at."""
+    kept = [c for c in mixed.columns if c not in ("position", "again", "taken")]
+    first = F.least("size", "taken")
+    passes = F.array(F.struct(F.col("position").alias("at"), first.alias("words")), F.struct(F.col("again").alias("at"), (F.col("taken") - first).alias("words")))
+    rows = mixed.select(*kept, F.explode(passes).alias("_p")).select(*kept, "_p.at", "_p.words").where("at is not null")
+    return rows.repartitionByRange("at").sortWithinPartitions("at")
 
 
 ORACLE = r"""
@@ -115,10 +134,13 @@ x AS (SELECT *, (2 * source_size)::DOUBLE / weight AS room FROM w),
 y AS (SELECT *, (3 * total - 4 * coalesce(sum(source_size) OVER (ORDER BY room, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT::DOUBLE
     / (2 * sum(weight) OVER (ORDER BY room, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT::DOUBLE AS share FROM x),
 z AS (SELECT *, (SELECT arg_min(share, (room, r)) FROM y WHERE share <= room) AS level FROM y),
-p AS (SELECT source, source_size, CASE WHEN level IS NULL OR room <= level THEN (2 * source_size)::DOUBLE ELSE weight * level END AS target FROM z),
-c AS (SELECT d.doc_id, d.size, p.source_size, p.target,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c
-    FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target,
-    (greatest(0, least(size, floor(target)::BIGINT - c)) + greatest(0, least(size, floor(target)::BIGINT - c - source_size)))::BIGINT AS taken FROM c
+p AS (SELECT source, source_size, a, b, CASE WHEN level IS NULL OR room <= level THEN (2 * source_size)::DOUBLE ELSE weight * level END AS target FROM z),
+f AS (SELECT *, floor(target)::BIGINT AS e, sum(floor(target) * a) OVER () AS flow, sum(floor(target) * (b - a) / 2) OVER () AS bend FROM p),
+c AS (SELECT d.doc_id, d.size, f.source_size, f.target, e, a, b, flow, bend,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS one
+    FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
+g AS (SELECT *, greatest(0, least(size, e - one)) AS n, greatest(0, least(size, e - one - source_size)) AS m, one::DOUBLE / nullif(e, 0) AS x, (one + source_size)::DOUBLE / nullif(e, 0) AS y FROM c),
+t AS (SELECT *, CASE WHEN n = 0 THEN NULL WHEN a = b THEN x ELSE (sqrt(a * a + 2 * (b - a) * x) - a) / (b - a) END AS u,
+    CASE WHEN m = 0 THEN NULL WHEN a = b THEN y ELSE (sqrt(a * a + 2 * (b - a) * y) - a) / (b - a) END AS v FROM g)
+SELECT doc_id, size, source_size, target, (n + m)::BIGINT AS taken, floor(flow * u + bend * u * u)::BIGINT AS position, floor(flow * v + bend * v * v)::BIGINT AS again FROM t
 """

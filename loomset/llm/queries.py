@@ -26,8 +26,7 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
