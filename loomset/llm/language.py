@@ -10,13 +10,15 @@ Prediction: each n-gram of a text is looked up; per-language popcounts are corre
 slice is filled to f answers to a foreign n-gram with probability f^HASHES, so the count expected of the true members is
 (count - n * fp) / (1 - fp). The largest decides (ties: the first language in order). score: its share of the text's n-grams.
 
-Scale: at most SAMPLE labelled documents for each language are learned from (the documented bound; they are chosen by a
-hash of the text). Counts are summed before the shuffle. The filter is combined by bitwise OR in the cluster, and what is
+Scale: about SAMPLE different labelled texts of each language are learned from (the documented bound; they are chosen by a
+hash of the text, and equal texts count once). Counts are summed before the shuffle. The filter is combined by bitwise OR in the cluster, and what is
 broadcast has a fixed size: SLOTS words for each 32 languages; all labels are learned. Texts are read whole, in one pass, without a shuffle.
 
 Nulls and edge cases: null texts and those without letters are `und` with score 0. Texts none of whose n-grams are known get the
-language with most documents, score 0. Without labelled documents every text is `und`. A null id is held out. Only id,
-text and language are read; the language is used for learning alone.
+language with most documents, score 0. Without labelled documents every text is `und`. A null id is held out. Repeated rows are
+learned from once and predicted each; ties go to the first language in order. Very long texts are read whole. An empty table
+gives an empty result. Only id, text and language are read, the language for learning alone; carried columns named lang_pred,
+score or text are replaced by ours.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.common import _LOWER, chunks, mix, plain, stash, trimmed, utf8, whole
+from loomset.llm.common import _LOWER, chunks, mix, plain, trimmed, utf8, whole
+from loomset.scratch import stash
 
 SAMPLE, LEAST, SHARE = 4000, 2e-6, 0.2
 SLOTS, HASHES, N = 1 << 20, 3, 4
@@ -119,14 +122,15 @@ def learn(docs: DataFrame, text_col: str, lang_col: str) -> Filter | None:
     """Learns from all rows with a language; docs: the training rows."""
     spark = docs.sparkSession
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    known = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").collect()
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
+    kinds = hashed.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("documents"), F.count("*").alias("kinds"))
+    known = kinds.orderBy(F.col("documents").desc(), "lang").collect()  # a row for each language
     if not known:
         return None
     usual, names = known[0][0], sorted(r[0] for r in known)
-    sizes = spark.createDataFrame([(r[0], r[1]) for r in known], "l string, documents long")
-    # about SAMPLE texts of each language; equal texts are taken or left together
+    sizes = spark.createDataFrame([(r[0], r[2]) for r in known], "l string, kinds long")
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    rows = rows.join(F.broadcast(sizes), F.col("lang") == F.col("l")).where(part < SAMPLE / F.col("documents")).select("lang", "text")
+    rows = rows.join(F.broadcast(sizes), F.col("lang") == F.col("l")).where(part < SAMPLE / F.col("kinds")).select("lang", "text").distinct()
     n = stash(rows.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     total = spark.createDataFrame(n.groupBy("lang").agg(F.sum("n")).collect(), "l string, total long")
     share = n.join(F.broadcast(total), F.col("lang") == F.col("l")).select("lang", "gram", (F.col("n") / F.col("total")).alias("p"))
@@ -172,6 +176,7 @@ def _predict(shared, keep_text: bool):
 
 def identify(docs: DataFrame, model: Filter | None, carry: list[str], text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """docs' columns carry, lang_pred, score, and text if asked."""
+    carry = [c for c in carry if c not in ("lang_pred", "score", "text")]
     shared = docs.sparkSession.sparkContext.broadcast(plain(model))
     rows = docs.select(F.struct(*carry).alias("x"), F.col(text_col).cast("string").alias("_text"))
     out = rows.mapInArrow(_predict(shared, keep_text), f"x {rows.schema['x'].dataType.simpleString()}, lang_pred string, score double" + ", text string" * keep_text)

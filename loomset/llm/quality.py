@@ -7,16 +7,18 @@ documents, scaled to unit length; tokens are kept in a table of ROWS rows by has
 is the mean and the standard deviation of its words' and shapes' vectors, and the logarithm of its word count.
 
 The network (one hidden layer of HIDDEN tanh units) is trained by Adam on at most SAMPLE labelled documents (the documented
-bound); a tenth of these is left out to stop early and to fit one temperature, by which logits are divided before the
-logistic function.
+bound, one text for each id). A tenth of these is left out to stop early, and another tenth to fit one temperature, by which
+logits are divided before the logistic function.
 
 Scale: token vectors are counted over all documents in one pass, each task adding into its own table; the tables are added
 in the cluster. What is broadcast is the table of ROWS x DIMS floats and the network, of fixed size. Scoring is one pass
 without a shuffle.
 
 Nulls and edge cases: null, empty and wordless texts are a document of zero vectors and get its score. Labels that are null or
-neither 0 nor 1 are not learned from; of several labels of an id the mean counts. Without labels, or with one class only, every
-score is the share of label 1 (0.5 if there is none). A null id is held out. Only id, text and the label are read.
+neither 0 nor 1 are not learned from; of several labels of an id the mean counts, and of several texts the smallest is learned
+from, while all are scored. Without labels, or with one class only, every score is the share of label 1 (0.5 if there is none).
+A null id is held out. Very long texts are read whole. An empty table gives an empty result. Only id, text and the label are
+read, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -132,7 +134,9 @@ class Network:
         rng = np.random.default_rng(seed)
         order = rng.permutation(len(x))
         cut = max(1, len(x) // 10)
-        test, train = order[:cut], order[cut:]
+        test, warm, train = order[:cut], order[cut : 2 * cut], order[2 * cut :]
+        if not len(train):  # two or three documents: all serve for all
+            test = warm = train = order
         self.mean, self.std = x[train].mean(0), x[train].std(0) + 1e-3
         z = (x - self.mean) / self.std
         self.p = [rng.normal(0, 1 / np.sqrt(z.shape[1]), (z.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.log(share / (1 - share))]
@@ -153,7 +157,7 @@ class Network:
             if loss < best[0]:
                 best = (loss, list(self.p))
         self.p = best[1]
-        self.temperature = min((0.25 * 1.1**k for k in range(30)), key=lambda t: self._loss(z[test], y[test], t))
+        self.temperature = min((0.25 * 1.1**k for k in range(30)), key=lambda t: self._loss(z[warm], y[warm], t))
 
     def _logit(self, z: np.ndarray) -> np.ndarray:
         return np.tanh(z @ self.p[0] + self.p[1]) @ self.p[2] + self.p[3]
@@ -196,7 +200,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     shared = docs.sparkSession.sparkContext.broadcast(word_vectors(docs, text_col))
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col), 0)).groupBy(F.col(id_col).alias("i")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     known = known.orderBy(F.xxhash64("i"), "i").limit(SAMPLE)
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "i").select("y", "text")
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "i")
+    rows = rows.groupBy("i").agg(F.min("y").alias("y"), F.min("text").alias("text")).select("y", "text")
     rows = rows.mapInArrow(_features(shared), "y int, x array<float>").toPandas()
     x = np.stack(rows["x"].to_list()).astype(np.float64) if len(rows) else np.zeros((0, FEATURES))
     y = rows["y"].to_numpy(np.float64)
