@@ -10,18 +10,21 @@ from loomset.functions import text as X
 from loomset.operators.sample import shuffled_cap
 
 
-def format_reason(messages: Column) -> Column:
-    """Null if there are at least two messages."""
-    return F.when(messages.isNull(), F.lit("no messages")).when(F.size(messages) < 2, F.concat(F.lit("fewer than 2 messages ("), F.size(messages), F.lit(")")))
+def format_reason(messages: Column, form: Column | None = None) -> Column:
+    """Null if there are at least two messages. form, where it is known, tells absent messages from what is no list of them."""
+    few = F.when(F.size(messages) < 2, F.concat(F.lit("messages: "), F.size(messages), F.lit(", at least 2 are needed")))
+    if form is None:
+        return F.when(messages.isNull(), F.lit("no messages")).otherwise(few)
+    return F.when(form == "absent", F.lit("no messages")).when((form != "list") | messages.isNull(), F.lit("messages are no list of objects")).otherwise(few)
 
 
 def roles_reason(messages: Column) -> Column:
     """There must be an assistant and a user; a system message comes first. Other roles and any order are allowed."""
     r = X.roles(messages)
     return (
-        F.when(~F.array_contains(r, "assistant"), F.lit("no assistant message"))
-        .when(~F.array_contains(r, "user"), F.lit("no user message"))
-        .when(F.array_contains(r, "system") & (F.get(r, F.lit(0)) != "system"), F.lit("system not first"))
+        F.when(~F.array_contains(r, "assistant"), F.lit("the assistant is missing"))
+        .when(~F.array_contains(r, "user"), F.lit("the user is missing"))
+        .when(F.array_contains(r, "system") & (F.get(r, F.lit(0)) != "system"), F.lit("a system message comes late"))
     )
 
 
@@ -30,37 +33,45 @@ def content_reason(messages: Column) -> Column:
 
     def reason(m: Column) -> Column:
         role, n = F.coalesce(m["role"], F.lit("?")), F.length(X.strip(X.text_or_empty(m["content"])))
-        return (
-            F.when(n == 0, F.concat(F.lit("empty "), role, F.lit(" content")))
-            .when((role == "assistant") & (n < rules.MIN_ASSISTANT), F.concat(F.lit("assistant too short ("), n, F.lit(" chars)")))
-            .when((role == "user") & (n < rules.MIN_USER), F.concat(F.lit("user too short ("), n, F.lit(" chars)")))
-        )
+        short = ((role == "assistant") & (n < rules.MIN_ASSISTANT)) | ((role == "user") & (n < rules.MIN_USER))
+        return F.when(n == 0, F.concat(role, F.lit(" is empty"))).when(short, F.concat(role, F.lit(" has only "), n, F.lit(" characters")))
 
     return F.get(F.filter(F.transform(messages, reason), lambda r: r.isNotNull()), F.lit(0))
 
 
 def degenerate_reason(messages: Column) -> Column:
     bad = F.get(F.filter(messages, lambda m: X.degenerate(X.text_or_empty(m["content"]))), F.lit(0))
-    return F.when(bad.isNotNull(), F.concat(F.lit("degenerate repetition in "), F.coalesce(bad["role"], F.lit("?"))))
+    return F.when(bad.isNotNull(), F.concat(F.coalesce(bad["role"], F.lit("?")), F.lit(" repeats itself")))
 
 
 def length_reason(messages: Column, most: int = rules.MAX_TOTAL) -> Column:
     n = X.total_length(messages)
-    return F.when(n > most, F.concat(F.lit("total too long ("), n, F.lit(" chars)")))
+    return F.when(n > most, F.concat(n, F.lit(f" characters in all, over {most}")))
 
 
 def gated(df: DataFrame, check_degenerate: bool = False) -> DataFrame:
-    """df (messages) with gate and detail of the first gate that fails, both null for clean rows."""
-    gates = [("format", format_reason), ("roles", roles_reason), ("content", content_reason)]
+    """df (messages) with gate and detail of the first gate that fails, both null for clean rows.
+
+    Columns form and line_no, as `records.read_for_audit` gives them, are used if they are there: details begin with the line.
+    """
+    form = F.col("form") if "form" in df.columns else None
+    gates = [("format", lambda m: format_reason(m, form)), ("roles", roles_reason), ("content", content_reason)]
     gates += [("degenerate", degenerate_reason)] * check_degenerate + [("length", length_reason)]
     gate = detail = None
     for name, f in gates:
         r = f(F.col("messages"))
         gate = F.when(r.isNotNull(), F.lit(name)) if gate is None else gate.when(r.isNotNull(), F.lit(name))
         detail = F.when(r.isNotNull(), r) if detail is None else detail.when(r.isNotNull(), r)
+    if "line_no" in df.columns:
+        detail = F.concat(F.lit("line "), F.col("line_no"), F.lit(": "), detail)
     return df.withColumns({"gate": gate, "detail": detail})
 
 
+def file_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of `records.read_for_audit` -> records, for all that audits conversations, and lines that hold none."""
+    return lines.where("form <> 'bad'"), lines.where("form = 'bad'").select("source_path", "line_no")
+
+
 def first_failures(df: DataFrame) -> DataFrame:
     """(gate, n): rows by first failing gate, clean ones under clean."""
     return gated(df).groupBy(F.coalesce("gate", F.lit("clean")).alias("gate")).agg(F.count("*").alias("n"))
@@ -164,6 +175,15 @@ def first_rejections(df: DataFrame, order: list[str], n: int = 20) -> DataFrame:
     return gated(df).where("gate is not null").orderBy(*order).select(*order, "gate", "detail").limit(n)
 
 
-def preflight(n_rows: int, least: int = 1000) -> None:
-    if n_rows < least:
-        raise ValueError(f"{n_rows} training rows; {least} are needed")
+def preflight_report(train: DataFrame, eval_: DataFrame, least: int = 1000) -> DataFrame:
+    """One row: train_count, eval_count, system_prompt_diversity, enough (are there `least` training rows)."""
+    n = train.agg(F.count("*").alias("train_count")).crossJoin(eval_.agg(F.count("*").alias("eval_count"))).crossJoin(system_prompt_kinds(train))  # one row each
+    return n.select("train_count", "eval_count", F.col("prompts").alias("system_prompt_diversity"), (F.col("train_count") >= least).alias("enough"))
+
+
+def preflight(train: DataFrame, eval_: DataFrame, least: int = 1000) -> dict[str, int]:
+    """The report's values; ValueError if there are too few training rows."""
+    r = preflight_report(train, eval_, least).first().asDict()
+    if not r.pop("enough"):
+        raise ValueError(f"{r['train_count']} training rows; {least} are needed")
+    return r

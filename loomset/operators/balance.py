@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions import rules
+from loomset.scratch import stash
 
+#: Most held-out shingles that are broadcast (8 bytes each), and rows of a shard that is packed in one task.
+SHINGLES, SHARD = 1 << 22, 100_000
 
 def shares(df: DataFrame, key: str, most: float) -> DataFrame:
     """(key, n, pct, over): each value's share, and whether it is above `most` percent."""
@@ -36,17 +40,23 @@ def unexpected(df: DataFrame, value: str, allowed: DataFrame) -> DataFrame:
 
 
 def leaked(df: DataFrame, held_out: DataFrame, text: str = "text", words: int = 8) -> DataFrame:
-    """Rows of df that share a run of `words` words with a held-out text: shingles of both, semi-joined."""
+    """Rows of df that share a run of `words` words with a held-out text.
 
-    def shingles(x: DataFrame, keep: list[str]) -> DataFrame:
+    Shingles of df are not shuffled as long as those held out fit SHINGLES: they are then broadcast, and only digests of the
+    texts that have one of them go on. Beyond that both sides are shuffled by shingle.
+    """
+
+    def shingles(x: DataFrame, keep: list) -> DataFrame:
         w = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[ \t\n\r\f\x0b]+"), lambda v: v != "")
         at = F.when(F.size("_w") >= words, F.sequence(F.lit(0), F.size("_w") - words)).otherwise(F.array().cast("array<int>"))
         return x.withColumn("_w", w).select(*keep, F.explode(F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.slice("_w", i + 1, words))))).alias("_s"))
 
-    cols = df.columns
-    rows = df.withColumn("_id", F.xxhash64(*cols))
-    hit = shingles(rows, ["_id"]).join(shingles(held_out, []).distinct(), "_s", "left_semi").select("_id").distinct()
-    return rows.join(hit, "_id", "left_semi").select(*cols)
+    known = stash(shingles(held_out, []).distinct(), "held-out-shingles")
+    if known.count() <= SHINGLES:
+        known = F.broadcast(known)
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    hit = shingles(df, [digest.alias("_d")]).join(known, "_s", "left_semi").select("_d").distinct()
+    return df.join(hit, digest == F.col("_d"), "left_semi")
 
 
 def tier(score: Column) -> Column:
@@ -86,28 +96,43 @@ def token_estimate(text: Column) -> Column:
     return F.ceil(F.length(text) / 4).cast("long")
 
 
-def packed(df: DataFrame, tokens: str, order: str, size: int = 4096, shards: int = 64) -> DataFrame:
+def packed(df: DataFrame, tokens: str, order: str, size: int = 4096, shards: int | None = None) -> DataFrame:
     """df with shard and bin: next-fit packing of sequences of at most `size` tokens, within shards by hash of the order key.
 
-    A longer sequence has a bin of its own. Bins are independent between shards, so packing is parallel; each shard is read
-    in order and only a running sum is held.
+    A longer sequence has a bin of its own; null counts as 0 tokens. Bins are independent between shards, of which there is one for
+    about SHARD rows, so packing is parallel. A shard is read in order; the end of each bin is found in the running sum.
     """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, bin_, used = None, 0, 0
-        for f in frames:
-            bins = []
-            for s, n in zip(f["shard"], f[tokens], strict=True):
-                if s != shard:
-                    shard, bin_, used = s, 0, 0
-                elif used + n > size:
-                    bin_, used = bin_ + 1, 0
-                used += n
-                bins.append(bin_)
-            yield f.assign(bin=bins)
-
-    rows = df.withColumn("shard", F.pmod(F.xxhash64(order), F.lit(shards))).repartition("shard").sortWithinPartitions("shard", order)
-    return rows.mapInPandas(run, T.StructType([*rows.schema.fields]).add("bin", "long"))
+    if shards is None:
+        shards = max(1, -(-df.count() // SHARD))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, bin_, used = None, 0, 0
+        for batch in batches:
+            shard = batch.column(batch.schema.get_field_index("shard")).to_numpy()
+            n = batch.column(batch.schema.get_field_index(tokens)).cast(pa.int64()).fill_null(0).to_numpy()
+            bins = np.zeros(len(n), dtype=np.int64)
+            cuts = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(n)]])
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if shard[a] != last:
+                    last, bin_, used = shard[a], 0, 0
+                total, at = np.cumsum(n[a:b]), 0
+                while at < b - a:
+                    before = int(total[at - 1]) if at else 0
+                    to = int(np.searchsorted(total, before + size - used, side="right"))
+                    if to == at and used:
+                        bin_, used = bin_ + 1, 0
+                        continue
+                    to = max(to, at + 1)
+                    bins[a + at : a + to] = bin_
+                    used += int(total[to - 1]) - before
+                    at = to
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bins)], [*batch.schema.names, "bin"])
+
+    key = F.conv(F.substring(F.md5(F.col(order).cast("string")), 1, 8), 16, 10).cast("long")
+    rows = df.withColumn("shard", F.coalesce(key, F.lit(0)) % shards).repartition("shard").sortWithinPartitions("shard", order)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields]).add("bin", "long"))
 
 
 def taxonomy(spark, groups: dict[str, list[str]] = rules.TAXONOMY) -> DataFrame:

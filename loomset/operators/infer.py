@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from loomset.functions import rules
 from loomset.functions import text as X
-from loomset.operators.prompts import prompt, task_rows
+from loomset.operators.prompts import prompt, task_rows, wanted_tasks
 
 #: A backend is made once for each task; called with a request it returns the answer, or None.
 Backend = Callable[[str], str | None]
@@ -62,7 +62,7 @@ def healthy(url: str, timeout: float = 5) -> bool:
 
 
 def infer(requests: DataFrame, make: Callable[[], Backend], request_col: str = "request") -> DataFrame:
-    """requests with response (null: failed) and latency_ms. Write the result before using it twice: a rerun asks again."""
+    """requests with response (null: failed) and latency_ms. Write the result before using it twice: each use asks again."""
     schema = T.StructType([*requests.schema.fields]).add("response", "string").add("latency_ms", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,22 +86,31 @@ def stub_response(request: Column, fail_every: int = 7) -> Column:
 
 
 Answer = Callable[[DataFrame], DataFrame]
+#: Writes answers to a stage's requests and gives them back as they were written.
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def live_pairs(failures: DataFrame, answer: Answer, tasks: list[str] = rules.TASKS, model: str = "local", temperature: float = 0.6) -> tuple[DataFrame, DataFrame]:
+def live_pairs(failures: DataFrame, answer: Answer, tasks: list[str] = rules.TASKS, model: str = "local", temperature: float = 0.6, keep: Keep | None = None, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Pairs and error rows of all tasks. answer adds response to rows with request; compare is asked after repair.
 
-    A failed request gives an error row; a failed repair leaves compare with an empty output B.
+    A failed request gives an error row; a failed repair leaves compare with an empty output B. carry: further columns of
+    failures that both results keep. keep(requests, stage) must answer and write the requests of a stage, `first` or `compare`,
+    so that each is asked once, and compare is told the repair that is stored. Without it, answer must be a plain expression,
+    which gives the same each time it is computed.
     """
-    rows = task_rows(failures, tasks)
-    first = answer(rows.where("task <> 'compare'").withColumn("request", prompt(F.col("task"))))
-    repaired = first.where("task = 'repair'").select(F.col("id").alias("_id"), F.col("response").alias("repair_output"))
-    late = rows.where("task = 'compare'").join(repaired, F.col("id") == F.col("_id"), "left")
-    second = answer(late.withColumn("request", prompt(F.col("task"), F.col("repair_output"))).drop("_id", "repair_output"))
-    both = first.unionByName(second, allowMissingColumns=True)
+    ask = keep or (lambda requests, _stage: answer(requests))
+    rows = task_rows(failures, wanted_tasks(tasks))
+    first = ask(rows.where("task <> 'compare'").withColumn("request", prompt(F.col("task"))), "first")
+    both = first
+    if "compare" in wanted_tasks(tasks):
+        key = ["id", *carry]
+        repaired = first.where("task = 'repair'").select(*key, F.col("response").alias("repair_output"))
+        late = rows.where("task = 'compare'").join(repaired, key, "left")
+        second = ask(late.withColumn("request", prompt(F.col("task"), F.col("repair_output"))).drop("repair_output"), "compare")
+        both = first.unionByName(second, allowMissingColumns=True)
     messages = F.array(X.message("system", F.lit(rules.SYSTEM_PROMPT)), X.message("user", F.col("request")), X.message("assistant", F.col("response")))
     latency = F.col("latency_ms") if "latency_ms" in both.columns else F.lit(None).cast("long")
     meta = F.struct("failure_class", "vertical", "source_model", F.lit(model).alias("inference_model"), F.lit(temperature).alias("temperature"), latency.alias("latency_ms"))
-    pairs = both.where("response is not null").select("id", "task", "task_ord", messages.alias("messages"), meta.alias("metadata"))
-    errors = both.where("response is null").select("id", "task", F.lit("inference failed").alias("error"))
+    pairs = both.where("response is not null").select("id", *carry, "task", "task_ord", messages.alias("messages"), meta.alias("metadata"))
+    errors = both.where("response is null").select("id", *carry, "task", F.lit("inference failed").alias("error"))
     return pairs, errors

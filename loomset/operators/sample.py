@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.functions import text as X
 
+HASHES, BITS = 7, 1 << 28
+
 
 def keep_first(df: DataFrame, fingerprint: Column, order: list[str]) -> DataFrame:
     """The first row, in order, of each fingerprint. Only key and order are ranked; wide rows are not sorted."""
@@ -15,10 +21,58 @@ def keep_first(df: DataFrame, fingerprint: Column, order: list[str]) -> DataFram
     return named.join(first, ["_f", "_o"], "left_semi").drop("_f", "_o")
 
 
-def bloom_keep_new(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not known: the state is first cut to the keys at hand, so the anti side is small."""
-    hits = known.select(key).join(df.select(key).distinct(), key, "left_semi").distinct()
-    return df.join(hits, key, "left_anti")
+def _places(key: str, bits: int) -> list[Column]:
+    """HASHES places of a key among so many bits."""
+    return [F.pmod(F.xxhash64(F.lit(k), F.col(key).cast("string")), F.lit(bits)) for k in range(HASHES)]
+
+
+def bloom_filter(known: DataFrame, key: str, bits: int) -> np.ndarray:
+    """A Bloom filter of the keys as bytes. Words of 64 bits are joined by OR before the shuffle; at most bits / 64 come back."""
+    place = known.select(F.explode(F.array(*_places(key, bits))).alias("b"))
+    words = place.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("x")).toPandas()
+    out = np.zeros(bits // 64, dtype="<i8")
+    out[words["w"].to_numpy(np.int64)] = words["x"].to_numpy(np.int64)
+    return out.view(np.uint8)
+
+
+def bloom_keep_new(df: DataFrame, known: DataFrame, key: str, most_bits: int = BITS) -> DataFrame:
+    """Rows whose key is not known. A Bloom filter lets pass what is surely new; only what it holds back is compared exactly.
+
+    The filter has 16 bits for each known key (one false alarm in 10^4), up to most_bits (32 MB), beyond which there are more false
+    alarms and the result is the same. Null keys are new.
+    """
+    known = known.select(F.col(key).alias("_k")).where("_k is not null")
+    bits = 1 << max(16, min(most_bits.bit_length() - 1, (16 * known.count()).bit_length()))
+    table = df.sparkSession.sparkContext.broadcast(bloom_filter(known, "_k", bits))
+
+    @F.pandas_udf("boolean")
+    def maybe(places: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        t = table.value
+        for cols in places:
+            out = np.ones(len(cols[0]), dtype=bool)
+            for c in cols:
+                b = c.to_numpy(np.int64)
+                out &= (t[b >> 3] >> (b & 7).astype(np.uint8) & 1).astype(bool)
+            yield pd.Series(out)
+
+    rows = df.withColumn("_maybe", F.col(key).isNotNull() & maybe(*_places(key, bits)))
+    held = rows.where("_maybe")
+    # the state is cut to the keys at hand first, so the anti side is small
+    hits = known.join(held.select(F.col(key).alias("_k")).distinct(), "_k", "left_semi").distinct()
+    return rows.where("not _maybe").select(*df.columns).union(held.join(hits, held[key] == hits["_k"], "left_anti").select(*df.columns))
+
+
+def reconciled(df: DataFrame, key: str, chunk: str, order: list[str]) -> DataFrame:
+    """df with state, after chunks were registered on their own: kept, `chunk duplicate` for a row whose key comes earlier in its
+    chunk, and `cross duplicate` for one that is first in its chunk, but not in the first chunk that has the key.
+
+    Two minima, each summed before the shuffle. order must tell the rows of a chunk apart. Null keys are never duplicates.
+    """
+    firsts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k"), F.col(chunk).alias("_c")).agg(F.min(F.struct(*order)).alias("_o"))
+    where = firsts.join(firsts.groupBy("_k").agg(F.min("_c").alias("_first")), "_k")
+    rows = df.join(where, (F.col(key) == F.col("_k")) & F.col(chunk).eqNullSafe(F.col("_c")), "left")
+    state = F.when(F.col("_k").isNull(), "kept").when(F.struct(*order) != F.col("_o"), "chunk duplicate").when(~F.col("_c").eqNullSafe(F.col("_first")), "cross duplicate").otherwise("kept")
+    return rows.withColumn("state", state).select(*df.columns, "state")
 
 
 def strata_quota(df: DataFrame, stratum: str, cap: int, first: str) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from loomset.functions import text as X
 from loomset.operators.balance import tier
+from loomset.scratch import stash
 
+LEVELS = 10
 MODEL, SCRIPT, SKILL = "curator", "loomset", "selfheal"
 
 
@@ -33,11 +35,12 @@ def stamp(vetted: DataFrame, carry: list[str] | None = None) -> DataFrame:
 def hash_root(leaves: DataFrame, value: str, order: str) -> str:
     """Root of the binary tree over values in order: parent = SHA-256 of left and right as hex, an odd last one pairs with itself.
 
-    Each round halves the rows; positions come from a range sort, so no task sees all leaves. Without leaves: SHA-256 of "".
+    Leaves are numbered by a range sort and the sizes of its partitions, so no task sees them all, and written. A round folds
+    up to 2**LEVELS neighbours, one group of bounded size, and is written too. Without leaves: SHA-256 of "".
     """
     spark = leaves.sparkSession
     parts = leaves.select(F.col(order).alias("o"), F.col(value).alias("h")).repartitionByRange("o").sortWithinPartitions("o").select("h", F.monotonically_increasing_id().alias("m"))
-    parts = parts.persist()
+    parts = stash(parts, "leaves")
     sizes = sorted((r[0], r[1]) for r in parts.groupBy(F.shiftright("m", 33).alias("p")).count().collect())  # one row for each partition
     at, rows = 0, []
     for p, n in sizes:
@@ -46,14 +49,25 @@ def hash_root(leaves: DataFrame, value: str, order: str) -> str:
     if not at:
         return hashlib.sha256(b"").hexdigest()
     start = spark.createDataFrame(rows, "p long, start long")
-    level = parts.join(F.broadcast(start), F.shiftright("m", 33) == F.col("p")).select((F.col("start") + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).alias("i"), "h")
+    level = parts.join(start, F.shiftright("m", 33) == F.col("p")).select((F.col("start") + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).alias("i"), "h")
     n = at
     while n > 1:
-        level = level.groupBy(F.expr("i div 2").alias("i")).agg(F.min(F.struct("i", "h")).alias("a"), F.max(F.struct("i", "h")).alias("b")).select("i", F.sha2(F.concat(F.col("a.h"), F.col("b.h")), 256).alias("h"))
-        n = -(-n // 2)
-    root = level.first()[1]
-    parts.unpersist()
-    return root
+        k = min(LEVELS, (n - 1).bit_length())
+        level = stash(_folded(level, k), "level")
+        n = -(-n // (1 << k))
+    return level.first()["h"]
+
+
+def _folded(level: DataFrame, levels: int) -> DataFrame:
+    """(i, h) some levels higher: each group of 2**levels neighbours is one row."""
+
+    def parents(h: Column) -> Column:
+        pair = F.sequence(F.lit(0), F.floor((F.size(h) - 1) / 2).cast("int"))
+        return F.transform(pair, lambda k: F.sha2(F.concat(F.get(h, 2 * k), F.coalesce(F.get(h, 2 * k + 1), F.get(h, 2 * k))), 256))
+
+    group = level.groupBy(F.expr(f"i div {1 << levels}").alias("i")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda x: x["h"]).alias("h"))
+    start = F.col("h").cast("array<string>")
+    return group.select("i", F.get(F.reduce(F.sequence(F.lit(1), F.lit(levels)), start, lambda h, _: parents(h)), F.lit(0)).alias("h"))
 
 
 def average_score(cells: DataFrame, score: str = "verification_score") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomset.functions import rules
@@ -29,19 +29,24 @@ def coherent(task: Column, answer: Column, keywords: dict[str, list[str]] = rule
 def first_seen(df: DataFrame, key: str, order: list[str], known: DataFrame | None = None) -> DataFrame:
     """df with unseen: the row is the first with its key, in order, and the key is not among known (one column, of that name).
 
-    Known keys are found by a semi join on the keys at hand, which prunes the state, and then flagged.
+    order must tell rows apart: rows that tie for the first place are all first. The first place is a minimum by key, summed
+    before the shuffle, and comes back by a join, of which a hot key's side can be split; no task ranks a key's rows. Known
+    keys are found by a semi join on the keys at hand, which prunes the state.
     """
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
-    if known is None:
-        return df.withColumn("unseen", first)
-    hits = known.join(df.select(key).distinct(), key, "left_semi").distinct().withColumn("_seen", F.lit(True))
-    return df.join(hits, key, "left").withColumn("unseen", F.col("_seen").isNull() & first).drop("_seen")
+    first = df.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(*order)).alias("_first"))
+    if known is not None:
+        hits = known.select(F.col(key).alias("_key")).join(first.select("_key"), "_key", "left_semi").distinct().withColumn("_seen", F.lit(True))
+        first = first.join(hits, "_key", "left")
+    else:
+        first = first.withColumn("_seen", F.lit(None).cast("boolean"))
+    unseen = F.col("_seen").isNull() & (F.struct(*order) == F.col("_first"))
+    return df.join(first, F.col(key).eqNullSafe(F.col("_key"))).withColumn("unseen", unseen).drop("_key", "_first", "_seen")
 
 
 def vet(pairs: DataFrame, order: list[str], known: DataFrame | None = None, fingerprint: Column | None = None, keywords: dict[str, list[str]] = rules.TASK_KEYWORDS) -> DataFrame:
     """pairs (messages, task) with fingerprint, the five gates, gates, passed, score and reason.
 
-    A key counts as seen whether or not its row passes, so the window is the sequential rule. A repeated pair that passes all
+    A key counts as seen whether or not its row passes, so the first place by key is the sequential rule. A repeated pair that passes all
     other gates is kept, with score 60; repetition is never named as a reason.
     """
     answer = X.text_or_empty(X.last_content(F.col("messages"), "assistant"))

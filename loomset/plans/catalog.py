@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from loomset.functions import rules
 from loomset.functions import text as X
 from loomset.operators import assemble, audit, balance, infer, normalize, prompts, sample, seal, state, vet
+from loomset.scratch import new_path
+from loomset.sources import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,7 +44,7 @@ def failures(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
     return docs.join(lab, docs.doc_id == F.col("_d"), "left").select(
         F.col("doc_id").alias("id"), F.coalesce("failure_class", F.lit("unknown")).alias("failure_class"), F.col("lang").alias("vertical"), F.col("source").alias("source_model"),
-        F.substring("text", 1, 200).alias("user_prompt"), F.col("text").alias("model_output"), F.lit("").alias("system_prompt"), F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("e1"), F.lit("e2"))).otherwise(F.array().cast("array<string>")).alias("errors"), "source",
+        F.col("text").alias("user_prompt"), F.col("text").alias("model_output"), F.lit("").alias("system_prompt"), F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("e1"), F.lit("e2"))).otherwise(F.array().cast("array<string>")).alias("errors"), "source",
     )
 
 
@@ -82,13 +84,12 @@ FIRST = "list_filter(ms, lambda x: x.role = '{0}')[1].content"
 FP = f"sha256({_strip('lower(coalesce(' + FIRST.format('assistant') + ', ' + chr(39) * 2 + '))')})"
 KEY = "sha256(concat('42|', {0}))"
 PAIR_TASK = "['diagnose', 'repair', 'prevent', 'detect', 'compare'][doc_id % 5 + 1]"
-SIZE = "CASE WHEN role = 'assistant' AND n < 50 THEN 'assistant too short (' || n || ' chars)' WHEN role = 'user' AND n < 10 THEN 'user too short (' || n || ' chars)' END"
-REASON = f"list_filter([CASE WHEN len({_strip('x.content')}) = 0 THEN 'empty ' || x.role || ' content' WHEN x.role = 'assistant' AND len({_strip('x.content')}) < 50 THEN 'assistant too short (' || len({_strip('x.content')}) || ' chars)' WHEN x.role = 'user' AND len({_strip('x.content')}) < 10 THEN 'user too short (' || len({_strip('x.content')}) || ' chars)' END FOR x IN ms], lambda r: r IS NOT NULL)[1]"
+REASON = f"list_filter([CASE WHEN len({_strip('x.content')}) = 0 THEN x.role || ' is empty' WHEN (x.role = 'assistant' AND len({_strip('x.content')}) < 50) OR (x.role = 'user' AND len({_strip('x.content')}) < 10) THEN x.role || ' has only ' || len({_strip('x.content')}) || ' characters' END FOR x IN ms], lambda r: r IS NOT NULL)[1]"
 TOTAL = "coalesce(list_sum([len(coalesce(x.content, '')) FOR x IN ms]), 0)::INTEGER"
 ROLES = "[coalesce(x.role, '?') FOR x IN ms]"
 GATE = f"""CASE WHEN ms IS NULL OR len(ms) < 2 THEN 'format' WHEN NOT list_contains({ROLES}, 'assistant') OR NOT list_contains({ROLES}, 'user')
     OR (list_contains({ROLES}, 'system') AND {ROLES}[1] <> 'system') THEN 'roles' WHEN {REASON} IS NOT NULL THEN 'content' WHEN {TOTAL} > 32000 THEN 'length' END"""
-FAILED = "f AS (SELECT d.doc_id AS id, CASE WHEN l.doc_id IS NULL THEN 'unknown' WHEN quality = 0 THEN 'missing_step' WHEN toxic = 1 THEN 'safety_bypass' ELSE 'clean_pass' END AS failure_class, lang AS vertical, source AS source_model, substr(text, 1, 200) AS user_prompt, text AS model_output, CASE WHEN d.doc_id % 3 = 0 THEN 'e1; e2' ELSE 'none reported' END AS errors FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+FAILED = "f AS (SELECT d.doc_id AS id, CASE WHEN l.doc_id IS NULL THEN 'unknown' WHEN quality = 0 THEN 'missing_step' WHEN toxic = 1 THEN 'safety_bypass' ELSE 'clean_pass' END AS failure_class, lang AS vertical, source AS source_model, text AS user_prompt, text AS model_output, CASE WHEN d.doc_id % 3 = 0 THEN 'e1; e2' ELSE 'none reported' END AS errors FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 
 
 # Audit: A1-A6, E2, H3-H10, H14, H17, W5, W7, C16
@@ -99,9 +100,12 @@ def _(s, d):
     return audit.first_failures(conversations(s, d))
 
 
-@query("audit_gates_detail", f"""WITH {M} SELECT conv_id, {GATE} AS gate, CASE WHEN len(ms) < 2 THEN 'fewer than 2 messages (' || len(ms) || ')' WHEN NOT list_contains({ROLES}, 'assistant') THEN 'no assistant message'
-    WHEN NOT list_contains({ROLES}, 'user') THEN 'no user message' WHEN list_contains({ROLES}, 'system') AND {ROLES}[1] <> 'system' THEN 'system not first' WHEN {REASON} IS NOT NULL THEN {REASON}
-    WHEN {TOTAL} > 32000 THEN 'total too long (' || {TOTAL} || ' chars)' END AS detail FROM m""")
+DETAIL = f"""CASE WHEN len(ms) < 2 THEN 'messages: ' || len(ms) || ', at least 2 are needed' WHEN NOT list_contains({ROLES}, 'assistant') THEN 'the assistant is missing'
+    WHEN NOT list_contains({ROLES}, 'user') THEN 'the user is missing' WHEN list_contains({ROLES}, 'system') AND {ROLES}[1] <> 'system' THEN 'a system message comes late' WHEN {REASON} IS NOT NULL THEN {REASON}
+    WHEN {TOTAL} > 32000 THEN {TOTAL} || ' characters in all, over 32000' END"""
+
+
+@query("audit_gates_detail", f"WITH {M} SELECT conv_id, {GATE} AS gate, {DETAIL} AS detail FROM m")
 def _(s, d):
     return audit.gated(conversations(s, d)).select("conv_id", "gate", "detail")
 
@@ -329,9 +333,9 @@ def _(s, d):
     return documents(s, d).select("doc_id", normalize.failure_type(F.col("text"), TYPES).alias("kind"))
 
 
-@query("judge_traces", f"WITH {M} SELECT conv_id, 'judge' AS vertical, {_case('lower(' + FIRST.format('user') + ')', TYPES, 'other')} AS failure_type, len(ms)::INTEGER AS messages FROM m WHERE len(ms) >= 2 AND {TOTAL} >= 600")
+@query("judge_traces", f"WITH {M} SELECT conv_id, 'judge' AS vertical, {_case('lower(' + FIRST.format('user') + ')', TYPES, 'other')} AS failure_type, len(ms)::INTEGER AS messages FROM m WHERE len(ms) >= 2 AND {TOTAL} >= 100")
 def _(s, d):
-    t = normalize.judge_traces(conversations(s, d), TYPES, min_length=600)
+    t = normalize.judge_traces(conversations(s, d), TYPES)
     return t.select("conv_id", "metadata.vertical", "metadata.failure_type", F.size("messages").alias("messages"))
 
 
@@ -546,6 +550,40 @@ def _(s, d):
     return s.createDataFrame([(root,)], "root string").select("root", seal.batch_id(F.col("root")).alias("batch_id"))
 
 
+@query("ledger_header", f"""WITH RECURSIVE {CELLS}, {ROOT.format('id', 'fingerprint', 'e')}, r AS (SELECT h FROM t ORDER BY lvl DESC LIMIT 1), n AS (SELECT grade, count(*) AS n FROM e GROUP BY grade)
+SELECT 'BATCH-LS-' || substr(sha256(h), 1, 12) AS batch_id, 'general' AS domain, h AS merkle_root, 1.0::DOUBLE AS gate_pass_rate, (SELECT round(avg(nullif(verification_score, 0)), 1) FROM e) AS avg_score,
+    (SELECT '{{' || string_agg('"' || grade || '":' || n, ',' ORDER BY grade) || '}}' FROM n) AS tier_distribution, '' AS audit_timestamp, 0.0::DOUBLE AS contamination_rate, 0 AS think_tags_found FROM r""")
+def _(s, d):
+    rows = seal.stamp(vetted(s, d).where("passed"), carry=["id"])
+    header, _pairs = seal.ledger_batch(rows, "id")
+    return header.withColumn("tier_distribution", F.to_json("tier_distribution"))
+
+
+@query("ledger_pushed", f"WITH {CELLS} SELECT cell_id, 'BATCH-LS-x' AS pushed_in FROM e")
+def _(s, d):
+    return seal.mark_pushed(cells(s, d), "BATCH-LS-x").select("cell_id", "pushed_in")
+
+
+@query("lineage_manifest", """WITH n AS (SELECT count(*) AS n FROM documents), l AS (SELECT 'curator' AS model_id, 'BATCH-LS-' || substr(sha256('train'), 1, 12) AS batch_id, 'run-2024-01-02' AS training_run_id, n AS pairs_used, 0.5::DOUBLE AS loss, 0.0::DOUBLE AS eval_loss, '2024-01-02T03:04:05' AS trained_at FROM n)
+SELECT model_id, batch_id, pairs_used, '{"model_id":"curator","batch_id":"' || batch_id || '","training_run_id":"run-2024-01-02","pairs_used":' || pairs_used || ',"loss":0.5,"eval_loss":0.0,"trained_at":"2024-01-02T03:04:05"}' AS manifest FROM l""")
+def _(s, d):
+    import hashlib
+
+    row = seal.lineage(hashlib.sha256(b"train").hexdigest(), "2024-01-02T03:04:05", documents(s, d).count(), 0.5, s)
+    return row.select("model_id", "batch_id", "pairs_used").crossJoin(seal.manifest(row))  # one row each
+
+
+@query("preflight_report", f"WITH {M}, t AS (SELECT * FROM m WHERE conv_id % 10 > 0) SELECT (SELECT count(*) FROM t) AS train_count, (SELECT count(*) FROM m WHERE conv_id % 10 = 0) AS eval_count, (SELECT count(DISTINCT substr(ms[1].content, 1, 100)) FROM t WHERE ms[1].role = 'system') AS system_prompt_diversity, (SELECT count(*) FROM t) >= 400 AS enough")
+def _(s, d):
+    c = conversations(s, d)
+    return audit.preflight_report(c.where("conv_id % 10 > 0"), c.where("conv_id % 10 = 0"), least=400)
+
+
+@query("audit_result", f"WITH {M}, g AS (SELECT coalesce({GATE}, 'clean') AS gate, {FP} AS fp FROM m), r AS (SELECT gate, count(*) AS n FROM g WHERE gate <> 'clean' GROUP BY gate) SELECT 'all' AS file, count(*) AS total, count(*) FILTER (gate = 'clean') AS clean, count(*) FILTER (gate <> 'clean') AS rejected, count(*) - count(DISTINCT fp) AS dups, (SELECT '{{' || coalesce(string_agg('\"' || gate || '\":' || n, ',' ORDER BY gate), '') || '}}' FROM r) AS rejections FROM g")
+def _(s, d):
+    return audit.audit_result(conversations(s, d), "all").withColumn("rejections", F.to_json("rejections"))
+
+
 @query("domain_remap", "SELECT x, CASE WHEN x IS NULL OR x = 'failure_analysis' THEN 'general' ELSE x END AS domain FROM (VALUES ('failure_analysis'), ('law'), (NULL)) t(x)")
 def _(s, d):
     return s.createDataFrame([("failure_analysis",), ("law",), (None,)], "x string").select("x", seal.domain(F.col("x")).alias("domain"))
@@ -571,12 +609,136 @@ def _(s, d):
     return state.unprocessed(files, s.createDataFrame([("a", "1"), ("b", "1")], "path string, sha256 string"))
 
 
-@query("state_totals", "SELECT count(*)::BIGINT AS records, sum(value)::BIGINT AS raw, count(*) FILTER (event_type = 'error') AS vetted, 0::BIGINT AS cells, 0::BIGINT AS errors FROM (SELECT event_type, 1 AS value FROM events)")
+@query("state_totals", "SELECT count(*)::BIGINT AS records, sum(value)::BIGINT AS raw, count(*) FILTER (event_type = 'error') AS vetted, 0::BIGINT AS rejected, 0::BIGINT AS cells, 0::BIGINT AS errors FROM (SELECT event_type, 1 AS value FROM events)")
 def _(s, d):
-    e = _table(s, d, "events").groupBy("user_id").agg(F.count("*").alias("records"), F.count("*").alias("raw"), F.count_if(F.col("event_type") == "error").alias("vetted"), F.lit(0).cast("long").alias("cells"), F.lit(0).cast("long").alias("errors"))
+    zero = F.lit(0).cast("long")
+    e = _table(s, d, "events").groupBy("user_id").agg(F.count("*").alias("records"), F.count("*").alias("raw"), F.count_if(F.col("event_type") == "error").alias("vetted"), zero.alias("rejected"), zero.alias("cells"), zero.alias("errors"))
     return state.totals(e)
 
 
+@query("state_commits", "SELECT source AS shard, count(*) AS records, (SELECT count(DISTINCT sha256(text)) FROM documents e WHERE e.source = d.source) AS fingerprints FROM documents d GROUP BY source")
+def _(s, d):
+    """Two attempts, of which the first dies before its shards are marked: only what the second wrote counts."""
+    path = new_path(s, "state")
+    docs = documents(s, d).select(F.col("source").alias("shard_key"), X.sha256(F.col("text")).alias("fingerprint"))
+    n = docs.groupBy("shard_key").agg(F.count("*").alias("records"))
+    metrics = n.select("shard_key", F.lit("run").alias("run_id"), F.col("shard_key").alias("shard"), "records", *(F.lit(0).cast("long").alias(c) for c in state.COUNTERS[1:]))
+    state.append(docs.withColumn("attempt", F.lit("one")), path, "fingerprints")
+    state.append(metrics.withColumn("attempt", F.lit("one")), path, "metrics")
+    shards = n.select("shard_key", F.col("shard_key").alias("path"), F.lit("").alias("sha256"), "records", *(F.lit(0).cast("long").alias(c) for c in ("pairs_generated", "pairs_vetted", "cells_stamped")))
+    none = s.createDataFrame([], "shard_key string, id string, task string, error string")
+    state.commit(path, "two", shards, docs, metrics, none)
+    seen = state.load(s, path, "fingerprints").groupBy("shard_key").agg(F.count("*").alias("fingerprints"))
+    return state.load(s, path, "metrics").join(seen, "shard_key").select("shard", "records", "fingerprints")
+
+
+@query("state_default", "SELECT 0::BIGINT AS shards, 0::BIGINT AS fingerprints")
+def _(s, d):
+    path = new_path(s, "state")
+    return state.load(s, path, "shards").agg(F.count("*").alias("shards")).crossJoin(state.load(s, path, "fingerprints").agg(F.count("*").alias("fingerprints")))  # one row each
+
+
+@query("time_formats", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS iso, strftime(ts, '%Y%m%d_%H%M%S') AS compact FROM events")
+def _(s, d):
+    return _table(s, d, "events").select("event_id", state.stamp_of(F.col("ts")).alias("iso"), state.stamp_of(F.col("ts"), compact=True).alias("compact"))
+
+
+@query("reconcile_chunks", """WITH r AS (SELECT doc_id, doc_id % 4 AS chunk, row_number() OVER (PARTITION BY text, doc_id % 4 ORDER BY doc_id) AS k, min(doc_id % 4) OVER (PARTITION BY text) AS first FROM documents)
+SELECT doc_id, CASE WHEN k > 1 THEN 'chunk duplicate' WHEN chunk <> first THEN 'cross duplicate' ELSE 'kept' END AS state FROM r""")
+def _(s, d):
+    docs = documents(s, d).select("doc_id", (F.col("doc_id") % 4).alias("chunk"), X.sha256(F.col("text")).alias("fingerprint"))
+    return sample.reconciled(docs, "fingerprint", "chunk", ["doc_id"]).select("doc_id", "state")
+
+
+# Readers: S1-S14, A1-A6 from files. The driver's tables are written as JSON lines, with blank and broken lines between.
+
+
+def _written(lines: DataFrame, key: str) -> str:
+    """Rows (key, line) as text files, one for each key % 4: a broken line after each seventh key, a blank one after each fifth."""
+    more = F.filter(
+        F.array(F.struct(F.lit(0).alias("k"), F.col("line")), F.struct(F.lit(1).alias("k"), F.concat(F.lit('{"id": '), F.col(key)).alias("line")), F.struct(F.lit(2).alias("k"), F.lit(" ").alias("line"))),
+        lambda x: (x["k"] == 0) | ((x["k"] == 1) & (F.col(key) % 7 == 0)) | ((x["k"] == 2) & (F.col(key) % 5 == 0)),
+    )
+    path = new_path(lines.sparkSession, "json-lines")
+    rows = lines.select(key, F.explode(more).alias("x")).select((F.col(key) % 4).alias("part"), key, "x.k", "x.line")
+    rows.repartition(4, "part").sortWithinPartitions("part", key, "k").select("part", "line").write.partitionBy("part").text(path)
+    return path
+
+
+LINES = "l AS (SELECT {0}, {0} % 4 AS part, k, row_number() OVER (PARTITION BY {0} % 4 ORDER BY {0}, k) AS line_no{2} FROM {1}, range(3) t(k) WHERE k = 0 OR (k = 1 AND {0} % 7 = 0) OR (k = 2 AND {0} % 5 = 0))"
+DOC_LINES = LINES.format("doc_id", "documents", ", text")
+
+
+def _part(path: str = "source_path"):
+    return F.regexp_extract(path, "part=([0-9]+)", 1).cast("long").alias("part")
+
+
+def document_lines(s: SparkSession, d: str) -> str:
+    fields = F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("a_b_c").alias("source"), F.col("text").alias("instruction"), F.col("lang").alias("output"))
+    return _written(documents(s, d).select("doc_id", F.to_json(fields).alias("line")), "doc_id")
+
+
+def conversation_lines(s: SparkSession, d: str) -> str:
+    """Conversations, of which some lack their messages and some have a text instead."""
+    c = conversations(s, d)
+    line = F.when(c.conv_id % 11 == 0, '{"other": 1}').when(c.conv_id % 13 == 0, '{"messages": "none"}').otherwise(F.to_json(F.struct("messages")))
+    return _written(c.select("conv_id", line.alias("line")), "conv_id")
+
+
+@query("jsonl_lenient_scan", f"WITH {DOC_LINES} SELECT part, line_no, doc_id::VARCHAR AS id, md5(text) AS h FROM l WHERE k = 0")
+def _(s, d):
+    ok, _bad = records.read_lenient(s, document_lines(s, d), records.FAILURE)
+    return ok.select(_part(), "line_no", "id", F.md5("instruction").alias("h"))
+
+
+@query("jsonl_quarantine", f"WITH {DOC_LINES} SELECT part, line_no, '{{\"id\": ' || doc_id AS line FROM l WHERE k = 1")
+def _(s, d):
+    _ok, bad = records.read_lenient(s, document_lines(s, d), records.FAILURE)
+    return bad.select(_part(), "line_no", "line")
+
+
+@query("jsonl_line_counts", f"WITH {DOC_LINES} SELECT part, count(*) FILTER (k < 2) AS lines FROM l GROUP BY part")
+def _(s, d):
+    return records.line_counts(s, document_lines(s, d)).select(_part(), "lines")
+
+
+@query("jsonl_skipping", f"WITH {DOC_LINES} SELECT doc_id::VARCHAR AS id, md5(text) AS h FROM l WHERE k = 0")
+def _(s, d):
+    return records.read_skipping(s, document_lines(s, d), records.FAILURE).select("id", F.md5("instruction").alias("h"))
+
+
+@query("jsonl_audit", f"""WITH {M}, {LINES.format("conv_id", "m", ", ms")}, g AS (SELECT part, line_no, CASE WHEN conv_id % 11 = 0 OR conv_id % 13 = 0 THEN 'format' ELSE {GATE} END AS gate,
+    CASE WHEN conv_id % 11 = 0 THEN 'no messages' WHEN conv_id % 13 = 0 THEN 'messages are no list of objects' ELSE {DETAIL} END AS detail FROM l WHERE k = 0)
+SELECT part, line_no, gate, 'line ' || line_no || ': ' || detail AS detail FROM g""")
+def _(s, d):
+    rows, _bad = audit.file_records(records.read_for_audit(s, conversation_lines(s, d)))
+    return audit.gated(rows).select(_part(), "line_no", "gate", "detail")
+
+
+@query("jsonl_parse_errors", f"WITH {LINES.format('conv_id', '(SELECT DISTINCT conv_id FROM conversations)', '')} SELECT part, line_no FROM l WHERE k = 1")
+def _(s, d):
+    _rows, bad = audit.file_records(records.read_for_audit(s, conversation_lines(s, d)))
+    return bad.select(_part(), "line_no")
+
+
+@query("jsonl_training", f"WITH {M} SELECT md5(ms[1].content) AS first, len(ms)::INTEGER AS messages FROM m WHERE len(ms) >= 2")
+def _(s, d):
+    path = new_path(s, "training")
+    conversations(s, d).where("size(messages) >= 2").select("messages").write.json(path)
+    rows = records.read_training(s, path)
+    return rows.select(F.md5(F.get("messages", F.lit(0))["content"]).alias("first"), F.size("messages").alias("messages"))
+
+
+@query("jsonl_discover", """SELECT doc_id % 4 AS part, sha256(string_agg('{"id":' || doc_id || ',"n_chars":' || n_chars || '}' || chr(10), '' ORDER BY doc_id)) AS sha256,
+    sum(strlen('{"id":' || doc_id || ',"n_chars":' || n_chars || '}') + 1)::BIGINT AS bytes FROM documents GROUP BY 1""")
+def _(s, d):
+    path = new_path(s, "shards")
+    rows = documents(s, d).select("doc_id", (F.col("doc_id") % 4).alias("part"), F.to_json(F.struct(F.col("doc_id").alias("id"), "n_chars")).alias("line"))
+    rows.repartition(4, "part").sortWithinPartitions("part", "doc_id").select("part", "line").write.partitionBy("part").text(path)
+    records.require(s, path)
+    return records.discover(s, path, "part-*.txt").select(_part("path"), "sha256", "bytes")
+
+
 # Specified checks: Z1-Z14
 
 
@@ -590,9 +752,9 @@ def _(s, d):
     return balance.target_bands(documents(s, d).select(normalize.failure_type(F.col("text"), TYPES).alias("kind")), "kind", {"ending": (60, 70), "licence": (1, 2), "none": (5, 10)})
 
 
-@query("allow_list", "SELECT conv_id, substr(text, 1, 20) AS prompt FROM conversations WHERE role = 'system' AND substr(text, 1, 20) NOT IN (SELECT substr(text, 1, 20) FROM conversations WHERE role = 'system' AND conv_id % 2 = 0)")
+@query("allow_list", "SELECT conv_id, text AS prompt FROM conversations WHERE role = 'system' AND text NOT IN (SELECT text FROM conversations WHERE role = 'system' AND conv_id % 2 = 0)")
 def _(s, d):
-    p = _table(s, d, "conversations").where("role = 'system'").select("conv_id", F.substring("text", 1, 20).alias("prompt"))
+    p = _table(s, d, "conversations").where("role = 'system'").select("conv_id", F.col("text").alias("prompt"))
     return balance.unexpected(p, "prompt", p.where("conv_id % 2 = 0")).select("conv_id", "prompt")
 
 
@@ -635,10 +797,11 @@ def _(s, d):
     return balance.taxonomy(s)
 
 
-def _packed(s: SparkSession, d: str) -> DataFrame:
-    """Not SQL: each bin depends on the one before."""
-    p = balance.packed(documents(s, d).select("doc_id", balance.token_estimate(F.col("text")).alias("tokens")), "tokens", "doc_id")
+@query("pack_sequences", """WITH RECURSIVE p AS (SELECT doc_id, ceil(len(text) / 4)::BIGINT AS t, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 16 AS shard FROM documents),
+o AS (SELECT shard, t, row_number() OVER (PARTITION BY shard ORDER BY doc_id) AS k FROM p),
+r AS (SELECT shard, k, t, t AS used, 0::BIGINT AS bin FROM o WHERE k = 1 UNION ALL
+    SELECT o.shard, o.k, o.t, CASE WHEN r.used > 0 AND r.used + o.t > 4096 THEN o.t ELSE r.used + o.t END, CASE WHEN r.used > 0 AND r.used + o.t > 4096 THEN r.bin + 1 ELSE r.bin END FROM r JOIN o ON o.shard = r.shard AND o.k = r.k + 1)
+SELECT shard, bin, count(*) AS n, sum(t)::BIGINT AS tokens FROM r GROUP BY shard, bin""")
+def _(s, d):
+    p = balance.packed(documents(s, d).select("doc_id", balance.token_estimate(F.col("text")).alias("tokens")), "tokens", "doc_id", shards=16)
     return p.groupBy("shard", "bin").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens"))
-
-
-QUERIES["pack_sequences"] = _packed

@@ -50,10 +50,18 @@ def path_order(files: DataFrame) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source_path, line_no, line). Each file is one row first, as lines have numbers only within a whole file."""
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), F.posexplode(F.split("value", "\n")).alias("i", "line"))
-    last = F.max("i").over(Window.partitionBy("source_path"))  # what follows the last line break is no line if it is empty
-    return lines.withColumn("_last", last).where("line <> '' or i < _last").select("source_path", (F.col("i") + 1).cast("long").alias("line_no"), "line")
+    """(source_path, line_no, line). Files are read by splits, however long they are.
+
+    Lines are numbered within each split, and the splits' line counts, one row for each split, are summed up by file: a first
+    pass counts, and each use of the result is a second. A line ends with LF, CR or CR LF.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("m"))
+    counts = rows.groupBy("source_path", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = counts.select("source_path", "block", (before - F.col("first") + 1).alias("shift"))
+    # the driver holds a record of each split as it is; the size being known, small ones are broadcast and large ones shuffled
+    starts = spark.createDataFrame(found.collect(), found.schema)
+    return rows.join(starts, ["source_path", "block"]).select("source_path", (F.col("m") + F.col("shift")).alias("line_no"), "line")
 
 
 def parsed(lines: DataFrame, schema: str) -> DataFrame:
@@ -88,7 +96,7 @@ def read_training(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_for_audit(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source_path, line_no, form, messages) of each record; form tells absent, null, other and list apart. Bad lines: form bad."""
+    """(source_path, line_no, form, messages) of each record; form tells absent, not a list and list apart. Bad lines: form bad."""
     p = parsed(numbered_lines(spark, path), CONVERSATION).where("not is_blank")
     v = F.try_variant_get(F.try_parse_json("line"), "$.messages", "variant")
     kind = F.schema_of_variant(v)

@@ -38,12 +38,27 @@ def test_entry(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_rest_works_without_the_optional_folders(tmp_path):
+def _copy(to, *left_out):
     import shutil
+
+    shutil.copytree(Path(__file__).resolve().parent.parent, to, ignore=shutil.ignore_patterns(".git", "__pycache__", *left_out))
+    return to
+
+
+def _entry(folder, code, path=""):
     import subprocess
     import sys
 
-    root = Path(__file__).resolve().parent.parent
-    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
-    code = "import __spark_entry__ as e; q = e.queries(); assert not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in q) and len(q) > 60; e.oracle_sql()"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path / "r")})
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); llm = [n for n in q if n.startswith('op') and n[2].isdigit() or n == 'pipeline'];" + code], cwd=folder, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": f"{path}:{folder}"})
+
+
+def test_rest_works_without_the_optional_folders(tmp_path):
+    """With the pipeline's module left in place, which can't be imported then."""
+    _entry(_copy(tmp_path / "r", "llm"), "assert not llm and len(q) > 60 and set(o) <= set(q)")
+
+
+def test_missing_libraries_cost_no_other_query(tmp_path):
+    (tmp_path / "none").mkdir()
+    for name in ("tiktoken", "regex"):
+        (tmp_path / "none" / f"{name}.py").write_text("raise ImportError")
+    _entry(_copy(tmp_path / "r"), "assert len(q) > 60", path=tmp_path / "none")

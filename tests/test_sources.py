@@ -27,6 +27,24 @@ def test_blank_file(spark, lines):
     assert ok.count() == bad.count() == 0
 
 
+def test_line_numbers_across_splits(spark, tmp_path):
+    """Files of several splits, with line ends of each kind."""
+    (tmp_path / "in").mkdir()
+    want = []
+    for name, end, n in (("a", "\n", 400), ("b", "\r\n", 300), ("c", "\r", 1), ("d", "\n", 0)):
+        rows = [f"{name} {i} " + "x" * (i % 40) if i % 7 else "" for i in range(n)]
+        (tmp_path / "in" / f"{name}.txt").write_bytes("".join(r + end for r in rows).encode())
+        want += [(f"{name}.txt", i + 1, r) for i, r in enumerate(rows)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        got = R.numbered_lines(spark, str(tmp_path / "in"))
+        assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 5
+        assert sorted((r.source_path.rsplit("/", 1)[1], r.line_no, r.line) for r in got.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_discover(spark, lines):
     deep = R.discover(spark, str(lines))
     assert [p.rsplit("/", 1)[1] for (p,) in rows_of(deep, "path")] == ["shard_1.jsonl", "shard_2.jsonl"]
