@@ -7,19 +7,22 @@ probability 1 - (1 - s^4)^32: at 0.8 all but 5 in 10^8. Every proposed link is c
 How groups stay small:
 
 1. Equal sets (copies included) fold into their smallest id before anything is exchanged.
-2. Small buckets link members whose signature estimate is at least threshold - 0.18 (5 standard deviations); larger
-   buckets link each member to the bucket's smallest id, a superset. The closure of these linear many pairs gives
-   candidate groups that contain each true link.
+2. Buckets of up to BUCKET sets link members whose signature estimate is at least threshold - 0.18 (5 standard deviations).
+   Larger ones (boilerplate, or one great group of copies) are dealt again, by the band's value and that of one of the next
+   SECOND bands: two sets of similarity 0.8 share 13 bands on average, and two within that reach but for 2 in 10^5. Only buckets
+   that are large again link each member to their smallest id, a superset. The closure of these linear many pairs gives candidate
+   groups that contain each true link.
 3. A candidate group of up to GROUP sets is confirmed all against all in one task. A larger one is dealt over blocks of
    BLOCK sets: each block is confirmed within itself and against about LEADERS sets of the whole group; then every set
-   that is not yet in the group's largest component (a straggler) is confirmed against all blocks. Pairs within the
-   largest component need no test, as they cannot change a component. No link between different texts is lost, and no
-   task holds more than a block and a chunk of stragglers.
+   that is not yet in the group's largest component (a straggler) is compared with all blocks, by sketches of 64 bytes, and
+   confirmed where a sketch is near enough; sets go to those blocks alone. Pairs within the largest component need no test, as
+   they cannot change a component. No link between different texts is lost, and no task holds more than a block and a chunk
+   of stragglers.
 
 Nulls and edge cases: null or wordless texts have an empty set and are linked with nothing. Rows with a null id take no
 part: component null, kept true. Rows with the same id are one node, whatever their texts. Shorter texts than a
-shingle are one shingle. An empty table gives an empty result. Only id and text are read, so further columns may have
-any name.
+shingle are one shingle. Very long texts are read whole. An empty table gives an empty result. Only id and text are read, so
+further columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,7 +40,9 @@ from loomset.scratch import stash
 
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
-BUCKET, GROUP, BLOCK, LEADERS, STRAGGLERS = 256, 256, 128, 16, 64
+BUCKET, SECOND, GROUP, BLOCK, LEADERS, STRAGGLERS = 256, 8, 256, 128, 16, 64
+#: How far below the threshold an estimate may be.
+SLACK = 0.18
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +106,17 @@ def _sketch(n: int, bands: bool):
     return run
 
 
+def estimates(x: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Similarity of sketches x to one, corrected for nibbles that agree by chance."""
+    d = x ^ one
+    same = ((d & 15 == 0).sum(1) + (d >> 4 == 0).sum(1)) / (2 * x.shape[1])
+    return (same - 1 / 16) * 16 / 15
+
+
+def _sketches(col: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), dtype=np.uint8).reshape(len(col), -1)
+
+
 class Forest:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -126,12 +142,10 @@ def _alike(least: float):
             ids = g["id"].to_numpy()
             if len(ids) == 1:
                 continue
-            x = np.frombuffer(b"".join(g["sketch"].to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+            x = _sketches(g["sketch"])
             f = Forest(len(ids))
             for i in range(len(ids) - 1):
-                d = x[i + 1 :] ^ x[i]
-                same = ((d & 15 == 0).sum(1) + (d >> 4 == 0).sum(1)) / (2 * x.shape[1])
-                for j in np.flatnonzero((same - 1 / 16) * 16 / 15 >= least) + i + 1:
+                for j in np.flatnonzero(estimates(x[i + 1 :], x[i]) >= least) + i + 1:
                     if f.join(i, int(j)):
                         u.append(ids[i])
                         v.append(ids[j])
@@ -193,19 +207,61 @@ def _sorted(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def _large_groups(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _worth(keys: list[str], least: float):
+    """Of stragglers (ask = 1) and a block, those that have a sketch near enough on the other side."""
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in groups(batches, keys):
+            ask, ids, x = g["ask"].to_numpy() == 1, g["id"].to_numpy(), _sketches(g["sketch"])
+            block, wanted = np.flatnonzero(~ask), np.zeros(len(ids), dtype=bool)
+            for i in np.flatnonzero(ask):
+                near = block[(estimates(x[block], x[i]) >= least) & (ids[block] != ids[i])]
+                wanted[near] = True
+                wanted[i] = len(near) > 0
+            if wanted.any():
+                yield from g.select(["id", *keys, "ask"]).filter(pa.array(wanted)).to_batches()
+
+    return run
+
+
+def _large_groups(sets: DataFrame, sketches: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The links of candidate groups of more than GROUP sets; found: those that were confirmed within blocks and with leaders."""
-    nodes = sets.select("id", "comp", "blocks")
+    nodes = sets.select("id", "comp", "blocks", "block")
     part = nodes.join(connected_components(found), nodes.id == F.col("node"), "left").select("id", "comp", "blocks", F.coalesce("component", "id").alias("part"))
     sizes = part.groupBy("comp", "part").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("comp").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all"))
-    rest = part.join(largest, "comp").where("part <> top.part").select("id", "comp", "blocks", F.expr(f"cast(ceil((all - top.n) / {STRAGGLERS}.0) as long)").alias("chunks"))
+    rest = part.join(largest, "comp").where("part <> top.part").select("id", "comp", F.expr(f"cast(ceil((all - top.n) / {STRAGGLERS}.0) as long)").alias("chunks"))
     rest = stash(rest, "stragglers")
-    asked = sets.join(rest.select("id", "chunks"), "id").select("id", "comp", "shingles", F.expr("pmod(xxhash64(id, 7), chunks)").alias("chunk"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("ask"))
+    light = nodes.join(sketches, "id")
+    asked = light.join(rest.select("id", "chunks"), "id").select("id", "comp", "sketch", F.expr("pmod(xxhash64(id, 7), chunks)").alias("chunk"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("ask"))
     many = rest.select("comp", "chunks").distinct()
-    against = sets.join(many, "comp").select("id", "comp", "shingles", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), "block", F.lit(0).alias("ask"))
+    against = light.join(many, "comp").select("id", "comp", "sketch", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), "block", F.lit(0).alias("ask"))
     keys = ["comp", "chunk", "block"]
-    return _sorted(asked.unionByName(against), keys).mapInArrow(_confirm(keys, percent), EDGE)
+    worth = _sorted(asked.unionByName(against), keys).mapInArrow(_worth(keys, percent / 100 - SLACK), "id long, comp long, chunk long, block long, ask int")
+    return _sorted(stash(worth, "worth").join(sets.select("id", "shingles"), "id"), keys).mapInArrow(_confirm(keys, percent), EDGE)
+
+
+def _candidates(first: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets (id, bands, sketch) whose closure holds each link."""
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        full = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1")
+        return stash(rows.join(full, ["band", "key"]), name)
+
+    def near(rows: DataFrame) -> DataFrame:
+        small = rows.where(f"n <= {BUCKET}").select("band", "key", "id").join(first.select("id", "sketch"), "id")
+        return _sorted(small, ["band", "key"]).mapInArrow(_alike(percent / 100 - SLACK), EDGE)
+
+    rows = counted(first.select("id", F.posexplode("bands").alias("band", "key")), "bands")
+    pairs = near(rows)
+    large = rows.where(f"n > {BUCKET}")
+    if large.isEmpty():
+        return pairs
+    other = F.expr(f"transform(sequence(1, {SECOND}), j -> xxhash64(band, key, j, bands[(band + j) % {BANDS}]))")
+    again = counted(large.select("id", "band", "key").join(first.select("id", "bands"), "id").select("id", "band", F.explode(other).alias("key")), "bands-again")
+    stars = again.where(f"n > {BUCKET} and id <> low").select(F.col("low").alias("u"), F.col("id").alias("v"))
+    return pairs.union(near(again)).union(stars)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -219,13 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = stash(live.groupBy("name").agg(F.min("id").alias("id"), F.min_by(F.struct("bands", "sketch"), "id").alias("x")).select("name", "id", "x.*"), "sets")
     copies = live.select("name", F.col("id").alias("v")).join(first.select("name", F.col("id").alias("u")), "name").where("u <> v").select("u", "v")
 
-    rows = first.select("id", F.posexplode("bands").alias("band", "key"))
-    full = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("low")).where("n > 1")
-    rows = stash(rows.join(full, ["band", "key"]), "bands")
-    stars = rows.where(f"n > {BUCKET} and id <> low").select(F.col("low").alias("u"), F.col("id").alias("v"))
-    small = rows.where(f"n <= {BUCKET}").select("band", "key", "id").join(first.select("id", "sketch"), "id")
-    pairs = _sorted(small, ["band", "key"]).mapInArrow(_alike(percent / 100 - 0.18), EDGE).union(stars)
-    group = connected_components(pairs).select(F.col("node").alias("id"), F.col("component").alias("comp"))
+    group = connected_components(_candidates(first, percent)).select(F.col("node").alias("id"), F.col("component").alias("comp"))
 
     size = group.groupBy("comp").agg(F.count("*").alias("n"))
     member = group.join(size, "comp").withColumn("blocks", F.expr(f"if(n <= {GROUP}, 1L, cast(ceil(n / {BLOCK}.0) as long))")).withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
@@ -239,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = found.union(copies)
     large = stashed.where("blocks > 1")
     if not large.isEmpty():
-        links = links.union(_large_groups(large, found, percent))
+        links = links.union(_large_groups(large, first.select("id", "sketch"), found, percent))
     label = connected_components(links)
     return (
         seen.join(label, seen.id == label.node, "left")
