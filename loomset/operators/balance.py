@@ -121,7 +121,7 @@ def packed(df: DataFrame, tokens: str, order: str, size: int = 4096, shards: int
                 while at < b - a:
                     before = int(total[at - 1]) if at else 0
                     to = int(np.searchsorted(total, before + size - used, side="right"))
-                    if to == at and used:
+                    if to <= at and used:
                         bin_, used = bin_ + 1, 0
                         continue
                     to = max(to, at + 1)

@@ -550,9 +550,9 @@ def _(s, d):
     return s.createDataFrame([(root,)], "root string").select("root", seal.batch_id(F.col("root")).alias("batch_id"))
 
 
-@query("ledger_header", f"""WITH RECURSIVE {CELLS}, {ROOT.format('id', 'fingerprint', 'e')}, r AS (SELECT h FROM t ORDER BY lvl DESC LIMIT 1), n AS (SELECT grade, count(*) AS n FROM e GROUP BY grade)
+@query("ledger_header", f"""WITH RECURSIVE {CELLS}, {ROOT.format('id', 'fingerprint', 'e')}, root AS (SELECT h FROM t ORDER BY lvl DESC LIMIT 1), counted AS (SELECT grade, count(*) AS n FROM e GROUP BY grade)
 SELECT 'BATCH-LS-' || substr(sha256(h), 1, 12) AS batch_id, 'general' AS domain, h AS merkle_root, 1.0::DOUBLE AS gate_pass_rate, (SELECT round(avg(nullif(verification_score, 0)), 1) FROM e) AS avg_score,
-    (SELECT '{{' || string_agg('"' || grade || '":' || n, ',' ORDER BY grade) || '}}' FROM n) AS tier_distribution, '' AS audit_timestamp, 0.0::DOUBLE AS contamination_rate, 0 AS think_tags_found FROM r""")
+    (SELECT '{{' || string_agg('"' || grade || '":' || n, ',' ORDER BY grade) || '}}' FROM counted) AS tier_distribution, '' AS audit_timestamp, 0.0::DOUBLE AS contamination_rate, 0 AS think_tags_found FROM root""")
 def _(s, d):
     rows = seal.stamp(vetted(s, d).where("passed"), carry=["id"])
     header, _pairs = seal.ledger_batch(rows, "id")
