@@ -123,6 +123,14 @@ def features(b: np.ndarray, offs: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
+def gradients(p: list, z: np.ndarray, y: np.ndarray, decay: float = 1e-4) -> list:
+    """Of the mean log loss, and decay / 2 times the squared weights, by the two layers' weights and biases p."""
+    hidden = np.tanh(z @ p[0] + p[1])
+    d = (1 / (1 + np.exp(-np.clip(hidden @ p[2] + p[3], -30, 30))) - y) / len(y)
+    back = np.outer(d, p[2]) * (1 - hidden * hidden)
+    return [z.T @ back + decay * p[0], back.sum(0), hidden.T @ d + decay * p[2], d.sum()]
+
+
 class Network:
     """Standardised features, HIDDEN tanh units, one logit over a temperature."""
 
@@ -142,14 +150,11 @@ class Network:
         self.p = [rng.normal(0, 1 / np.sqrt(z.shape[1]), (z.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.log(share / (1 - share))]
         m, v, best, step = [0.0] * 4, [0.0] * 4, (np.inf, self.p), 0
         for _epoch in range(60):
+            train = rng.permutation(train)
             for i in range(0, len(train), 256):
-                k = train[(at := slice(i, i + 256))] if i else (train := rng.permutation(train))[(at := slice(0, 256))]
-                hidden = np.tanh(z[k] @ self.p[0] + self.p[1])
-                d = (1 / (1 + np.exp(-np.clip(hidden @ self.p[2] + self.p[3], -30, 30))) - y[k]) / len(k)
-                back = np.outer(d, self.p[2]) * (1 - hidden * hidden)
-                grads = [z[k].T @ back + 1e-4 * self.p[0], back.sum(0), hidden.T @ d + 1e-4 * self.p[2], d.sum()]
+                k = train[i : i + 256]
                 step += 1
-                for q, g in enumerate(grads):
+                for q, g in enumerate(gradients(self.p, z[k], y[k])):
                     m[q] = 0.9 * m[q] + 0.1 * g
                     v[q] = 0.999 * v[q] + 0.001 * g * g
                     self.p[q] = self.p[q] - 3e-3 * (m[q] / (1 - 0.9**step)) / (np.sqrt(v[q] / (1 - 0.999**step)) + 1e-8)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, mixing, topk
+from loomset.llm import decontaminate, mixing, suffix_dedup, topk
 from loomset.llm.common import table
 from loomset.llm.language import language_id
 from loomset.llm.lm_score import lm_scores
@@ -85,6 +85,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP
 """,
     "op2_topk": topk.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op4_suffix_dedup": suffix_dedup.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
     "op10_warc": r"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS s FROM pages),

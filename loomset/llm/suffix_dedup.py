@@ -404,3 +404,21 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.mapInArrow(_kept, f"id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, text string")
     return out.select("id.*", "n_bytes", "n_removed", "spans", "kept", "text")
+
+
+#: Strings are told apart by MD5. A text is cut in pieces of 257 starts first, as SQL would look for a place in it from its beginning.
+ORACLE = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT r, b, substr(h, 2 * b + 1, 2 * 456) AS part FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199, 257)) AS b FROM d WHERE len(h) >= 400)),
+k AS MATERIALIZED (SELECT r, b + unnest(range(1, len(part) // 2 - 198)) AS i, unnest([md5_number(substr(part, 2 * i - 1, 400)) FOR i IN range(1, len(part) // 2 - 198)]) AS g FROM w),
+m AS (SELECT g FROM k GROUP BY g HAVING count(*) > 1),
+s AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM k WHERE g IN (FROM m)),
+n AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS p FROM s),
+p AS (SELECT r, p, min(i) AS a, max(i) + 200 AS z FROM n GROUP BY r, p),
+t AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1) AS after FROM p),
+x AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last FROM t GROUP BY r),
+y AS (SELECT t.r, string_agg(substr(h, 2 * after - 1, 2 * (a - after)), '' ORDER BY a) AS kept FROM t JOIN d USING (r) GROUP BY t.r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(CASE WHEN x.r IS NULL THEN h ELSE y.kept || substr(h, 2 * last - 1) END)) AS kept_sha256
+FROM d LEFT JOIN x USING (r) LEFT JOIN y USING (r)
+"""

@@ -7,7 +7,7 @@ import pytest
 from loomset.llm import suffix_dedup as S
 
 
-def brute(rows, length):
+def _gone(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     seen = {}
     for k, t in enumerate(texts):
@@ -18,6 +18,20 @@ def brute(rows, length):
         if len(places) > 1:
             for k, i in places:
                 gone[k][i : i + length] = True
+    return texts, gone
+
+
+def left_text(rows, length):
+    """What is left of each text, without characters that are cut in part."""
+    out = []
+    for t, g in zip(*_gone(rows, length), strict=True):
+        edge = np.flatnonzero(np.diff(np.concatenate([[1], g.astype(int), [1]])))
+        out.append("".join(t[a:b].decode(errors="ignore") for a, b in edge.reshape(-1, 2)))
+    return out
+
+
+def brute(rows, length):
+    texts, gone = _gone(rows, length)
     out = []
     for (i, _), t, g in zip(rows, texts, gone, strict=True):
         starts = int((np.diff(np.concatenate([[0], g.astype(int)])) == 1).sum())
@@ -68,6 +82,18 @@ def test_repeated_rows_and_null_ids(spark):
     assert run(spark, rows, 200) == brute(rows, 200)
 
 
+def test_clashing_names_and_long_texts(spark):
+    r = random.Random(3)
+    long = "".join(r.choice("abcdefgh ") for _ in range(1_500_000))
+    rows = [(1, long, "a", 5, "k"), (2, "x" + long[700_000:700_300] + "y", "b", 6, None), (None, "short", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_bytes int, key string")
+    out = S.remove_repeats(df, carry=["doc_id", "spans", "n_bytes", "key"])
+    assert out.columns == ["doc_id", "key", "n_bytes", "n_removed", "spans", "kept", "text"]
+    got = {x.doc_id: x for x in out.collect()}
+    assert [(got[i].n_bytes, got[i].n_removed) for i in (1, 2, None)] == [(1_500_000, 300), (302, 300), (5, 0)]
+    assert [(x.start, x.end) for x in got[1].spans] == [(700_000, 700_300)] and got[2].text == "xy"
+
+
 def test_empty_and_text_without_cut_characters(spark):
     assert S.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     a = "é" * 101  # 202 bytes of one repeated character: all strings repeat

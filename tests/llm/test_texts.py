@@ -1,6 +1,7 @@
 """Decontamination, language models, classifiers, token counts and the pipeline."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import SF, rows_of
 from loomset.llm import common, decontaminate, language, lm_score, near_dedup, quality, token_counts
+from loomset.scratch import scratch, stash
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -51,7 +53,8 @@ def test_words_that_fool_a_polynomial_hash(spark):
     docs = spark.createDataFrame([(2, THUE), (3, MORSE), (4, THUE)], "doc_id long, text string")
     got = decontaminate.contamination(docs, spark.createDataFrame([(1, MORSE)], "item_id long, text string"))
     assert rows_of(got, "doc_id", "n_hit") == [(2, 0), (3, 1), (4, 0)]
-    assert {r.doc_id: r.n_known for r in lm_score.lm_scores(docs.where("doc_id <> 4")).collect()} == {r.doc_id: (2 if not r.held_out else 1) for r in lm_score.lm_scores(docs.where("doc_id <> 4")).collect()}
+    train = {t for i, t in ((2, THUE), (3, MORSE), (4, THUE)) if zlib.crc32(str(i).encode()) % 5 != 1}
+    assert rows_of(lm_score.lm_scores(docs), "doc_id", "n_known") == [(i, 1 + (t in train)) for i, t in ((2, THUE), (3, MORSE), (4, THUE))]
     assert rows_of(near_dedup.near_duplicates(docs), "doc_id", "component_id") == [(2, 2), (3, 3), (4, 2)]
 
 
@@ -181,18 +184,65 @@ def test_lm_scores(spark):
         assert any((x.held_out, x.n_tokens, x.n_known, x.train_tokens) == (held, len(w), sum(c[y] > 0 for y in w), n) and abs(x.base_score - base) < 1e-6 and x.score < 0 for x in got[a])
 
 
-def test_lm_keeps_every_context(spark, monkeypatch):
-    """Few n-grams are looked up at once and blocks are small, yet each score is that of the whole tree."""
-    monkeypatch.setattr(lm_score, "GRAMS", 40)
-    monkeypatch.setattr(lm_score, "BLOCK", 30, raising=False)
-    r = random.Random(5)
-    rows = [(i, " ".join(r.choice(["the", "Cat", "näh", f"w{r.randrange(300)}"]) for _ in range(r.randrange(20)))) for i in range(200)] + [(1000, None), (1001, "zq unseen"), (None, "null id")]
+def brute_scores(train, texts, depth=5):
+    """log10 probabilities by the definition of context-tree weighting, one decision at a time."""
+    seen = [collections.defaultdict(lambda: [0, 0]) for _ in range(depth + 1)]
+    below = [collections.defaultdict(set) for _ in range(depth + 1)]
+
+    def decisions(text):
+        x = b"\xff" * depth + text + b"\xff"
+        for i in range(depth, len(x)):
+            for j in range(8):
+                yield x[i - depth : i], 1 << j | x[i] >> (8 - j), x[i] >> (7 - j) & 1
+
+    for t in train:
+        for context, node, bit in decisions(t):
+            for d in range(depth + 1):
+                seen[d][context[depth - d :], node][bit] += 1
+                if d:
+                    below[d - 1][context[depth - d + 1 :], node].add(context[depth - d :])
+    own = lambda d, c, node: (lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi))(*seen[d][c, node])
+
+    @functools.cache
+    def children(d, c, node):
+        return sum(weighted(d + 1, x, node) for x in below[d][c, node])
+
+    @functools.cache
+    def weighted(d, c, node):
+        return own(d, c, node) if d == depth else math.log(0.5) + np.logaddexp(own(d, c, node), children(d, c, node))
+
+    @functools.cache
+    def one(context, node):
+        p = None
+        for d in range(depth, -1, -1):
+            c = context[depth - d :]
+            if (c, node) not in seen[d]:
+                continue
+            a, b = seen[d][c, node]
+            kt = (b + 0.5) / (a + b + 1)
+            if p is None:
+                p = kt
+            else:
+                share = 1 / (1 + math.exp(min(700, children(d, c, node) - own(d, c, node))))
+                p = share * kt + (1 - share) * p
+        return 0.5 if p is None else p
+
+    return [sum(math.log10(q if bit else 1 - q) for c, node, bit in decisions(t) for q in [one(c, node)]) for t in texts]
+
+
+def test_lm_scores_by_their_definition(spark, monkeypatch):
+    """Depth 5, with more contexts than are looked up at once and than a block holds."""
+    monkeypatch.setattr(lm_score, "GRAMS", 20)
+    monkeypatch.setattr(lm_score, "WORDS", 3)
+    monkeypatch.setattr(lm_score, "BLOCK", 25)
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choice(["the", "Then", "näh", "anna", f"w{r.randrange(40)}"]) for _ in range(r.randrange(9)))) for i in range(60)] + [(1000, None), (1001, "zq unseen"), (None, "null id")]
     low = [(i, (t or "").translate(LOWER).encode()) for i, t in rows]
     train = [t for i, t in low if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
-    model = lm_score.Model(counted(train))
-    want = {i: model.score(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for i, t in low}
+    assert len({x[k : k + 6] for t in train for x in [b"\xff" * 5 + t + b"\xff"] for k in range(len(x) - 5)}) > 200
+    want = dict(zip([i for i, _ in low], brute_scores(train, [t for _, t in low]), strict=True))
     got = {x.doc_id: x.score for x in lm_score.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == pytest.approx(want, rel=1e-6)
+    assert got == pytest.approx(want, rel=1e-9)
 
 
 def test_lm_without_texts(spark):
@@ -212,6 +262,82 @@ def test_quality(spark):
     assert rows_of(got.where("held_out"), "doc_id") == sorted(((i,) for (i,) in rows_of(got, "doc_id") if i is None or zlib.crc32(str(i).encode()) % 5 == 0), key=repr)
 
 
+def test_random_indexing_against_dense_sums(spark):
+    r = random.Random(7)
+    texts = [" ".join(r.choice(["The", "cat", "SAT", "on", "12", "x-y", "é"]) for _ in range(r.randrange(12))) for _ in range(40)] + [None, ""]
+    want = np.zeros((quality.ROWS, quality.DIMS))
+    for t in texts:
+        b = (t or "").encode()
+        h, w = quality.tokens(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
+        assert len(h) == 2 * len(SPACED.findall(t or ""))
+        index = np.zeros((len(h), quality.DIMS))
+        for place, sign in quality.index_vectors(h):
+            np.add.at(index, (np.arange(len(h)), place.astype(int)), sign)
+        for i in range(len(h)):
+            for j in range(len(h)):
+                if 0 < abs(i - j) <= 2:
+                    want[int(h[i]) % quality.ROWS] += index[j]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    table = quality.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    assert np.allclose(table, want, atol=1e-6)
+    b, offs = np.frombuffer("".join(t or "" for t in texts).encode(), np.uint8), np.cumsum([0, *(len((t or "").encode()) for t in texts)])
+    x = quality.features(b, offs, table)
+    for k, t in enumerate(texts):
+        h, _ = quality.tokens(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))
+        n, d = len(h) // 2, quality.DIMS
+        assert x[k, -1] == pytest.approx(math.log1p(n) / 5)
+        for part in (0, 1):
+            v = table[(h[part::2] % np.uint64(quality.ROWS)).astype(int)]
+            assert np.allclose(x[k, 2 * part * d : (2 * part + 1) * d], v.mean(0) if n else 0, atol=1e-5)
+            assert np.allclose(x[k, (2 * part + 1) * d : (2 * part + 2) * d], v.std(0) if n else 0, atol=1e-3)
+
+
+def test_gradients_by_differences():
+    r = np.random.default_rng(5)
+    z, y = r.normal(size=(20, 6)), (r.random(20) < 0.4).astype(float)
+    p = [r.normal(size=(6, 4)), r.normal(size=4), r.normal(size=4), np.float64(0.3)]
+
+    def loss():
+        logit = np.tanh(z @ p[0] + p[1]) @ p[2] + p[3]
+        return np.logaddexp(0, -np.where(y > 0.5, 1, -1) * logit).mean() + 5e-5 * ((p[0] ** 2).sum() + (p[2] ** 2).sum())
+
+    for q, g in enumerate(quality.gradients(p, z, y)):
+        flat = np.atleast_1d(p[q]).astype(float)
+        for at in list(np.ndindex(flat.shape))[:10]:
+            both = []
+            for e in (1e-6, -1e-6):
+                moved = flat.copy()
+                moved[at] += e
+                kept, p[q] = p[q], moved if np.ndim(p[q]) else moved[0]
+                both.append(loss())
+                p[q] = kept
+            assert np.atleast_1d(g)[at] == pytest.approx((both[0] - both[1]) / 2e-6, rel=1e-4, abs=1e-7)
+
+
+def test_network_learns_and_is_calibrated():
+    r = np.random.default_rng(9)
+    x = r.normal(size=(6000, 5))
+    p = 1 / (1 + np.exp(-(2 * x[:, 0] * x[:, 1] + x[:, 2])))
+    y = (r.random(6000) < p).astype(float)
+    score = quality.Network(x[:5000], y[:5000]).score(x[5000:])
+    assert np.abs(score - p[5000:]).mean() < 0.08
+    for low in (0.0, 0.25, 0.5, 0.75):
+        k = (score >= low) & (score < low + 0.25)
+        assert abs(y[5000:][k].mean() - score[k].mean()) < 0.1
+
+
+def test_quality_of_odd_rows(spark):
+    """Repeated ids and rows, labels that clash or are null, a very long text, clashing names."""
+    long = "good words " * 200_000
+    rows = [(i, "good words here" if i % 2 else "bad! words, 123 here", i) for i in range(40)] + [(1, "another text of id 1", 0), (1, "another text of id 1", 0), (50, long, 1), (51, None, 1), (None, "x", 1)]
+    docs = spark.createDataFrame([(a, b, float(c), "clash", 0) for a, b, c in rows], "doc_id long, text string, score double, i string, predicted int")
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(40)] + [(1, 0, "x"), (3, None, "x"), (4, 7, "x"), (None, 1, "x"), (50, 1, None)], "doc_id long, quality int, text string")
+    got = quality.quality_scores(docs, labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 45
+    scores = {(r.doc_id, r.score) for r in got.collect()}
+    assert len({s for i, s in scores if i == 1}) == 2 and all(0 <= s <= 1 for _, s in scores)
+
+
 def test_quality_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
@@ -248,6 +374,37 @@ def test_language_of_more_than_256_labels(spark):
     assert np.mean([x.lang_pred == truth[x.doc_id] for x in got if truth[x.doc_id] >= "l256"]) > 0.9
 
 
+def test_filter_holds_the_exact_sets(spark):
+    r = random.Random(11)
+    words = {k: ["".join(r.choice("abcdefghijklmnopqrst"[i : i + 12]) for _ in range(r.randrange(3, 9))) for _ in range(60)] for i, k in enumerate(["aa", "bb", "cc"])}
+    common_ = ["shared", "words"]
+    rows = [(i, " ".join(r.choices([*words[k], *common_], k=30)).title(), k) for i in range(90) for k in ["aa", "bb", "cc"]] + [(0, "twice the same text", "aa")] * 5 + [(1, None, "aa"), (2, "no language", None)]
+    f = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang")
+    counts = {k: collections.Counter() for k in words}
+    for t, k in {(t, k) for _, t, k in rows if t and k}:
+        x = f" {re.sub('[^a-z]+', ' ', t.lower())} "
+        counts[k].update(x[i : i + 4] for i in range(len(x) - 3))
+    share = {k: {g: n / c.total() for g, n in c.items()} for k, c in counts.items()}
+    every = {g for c in counts.values() for g in c}
+    want = {g: {k for k in words if share[k].get(g, 0) >= language.LEAST and share[k].get(g, 0) >= language.SHARE * max(s.get(g, 0) for s in share.values())} for g in every}
+    s = language.slots_of(np.array([int.from_bytes(g.encode(), "big") for g in sorted(every)], np.uint64))
+    mask = f.table[0][s[0]] & f.table[0][s[1]] & f.table[0][s[2]]
+    got = {g: {f.langs[b] for b in range(3) if m >> b & 1} for g, m in zip(sorted(every), mask.tolist(), strict=True)}
+    assert all(got[g] >= want[g] for g in every) and sum(got[g] != want[g] for g in every) <= 1 and len(every) > 500
+    assert f.usual == "aa"
+
+
+def test_language_of_odd_rows(spark):
+    """Repeated rows, clashing names, a very long text; a language of one text that is repeated very often is learned."""
+    rows = [(i, "the cat sat on the mat and the dog", "en") for i in range(300)] + [(1000 + i, f"der hund und die katze nummer {i} im garten", "de") for i in range(20)] + [(5, "the cat sat on the mat and the dog", "en"), (2000, "der hund " * 100_000, None), (None, "die katze", None)]
+    df = spark.createDataFrame([(a, b, c, 0.5, "x", "y") for a, b, c in rows], "doc_id long, text string, lang string, score double, lang_pred string, x string")
+    got = {r.doc_id: r.lang_pred for r in language.language_id(df).collect()}
+    assert (got[0], got[1003], got[2000], got[None]) == ("en", "de", "de", "de")
+    model = language.learn(df, "text", "lang")
+    out = language.identify(df, model, ["doc_id", "score", "lang_pred", "x"], keep_text=True)
+    assert out.columns == ["doc_id", "x", "lang_pred", "score", "text"] and out.count() == len(rows)
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert rows_of(language.language_id(df), "lang_pred", "score") == [("und", 0.0)]
@@ -313,32 +470,77 @@ def test_tokeniser_on_a_megabyte_of_white_space():
 
 def test_pipeline_against_brute_force(spark):
     from test_near_dedup import brute
-    from test_suffix_dedup import brute as brute_bytes
+    from test_suffix_dedup import left_text
 
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect()
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     rows = {r.doc_id: r.text for r in docs if any(c.isalpha() for c in r.text or "")}
     keep = {i for i, _, _, kept in brute(list(rows.items()), 5) if kept}
-    rows = {i: t for i, t in rows.items() if i in keep}
-    cut = {i: removed for i, _, removed, _, _ in brute_bytes(list(rows.items()), 200)}
-    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
-    stage = spark.createDataFrame(list(rows.items()), "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1).cast("long")})
-    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_repeats(spark, stage, SF).collect()}
-    assert all(left[i] == t for i, t in rows.items() if not cut[i] and i in left) and {i for i in rows if i not in left} <= {i for i in rows if cut[i]}
+    rows = [(i, t) for i, t in rows.items() if i in keep]
+    left = {i: x for (i, t), x in zip(rows, left_text(rows, 200), strict=True) if x == t or SPACED.search(x)}
     clean = {i for i, *_, bad in brute_hits(list(left.items()), [(b.item_id, b.text) for b in bench]) if not bad}
-    assert set(got) == clean
-    assert all(got[i]["size"] == len(SPACED.findall(left[i])) and got[i].taken <= 2 * got[i]["size"] for i in clean)
+    with scratch(spark):
+        out = corpus_pipeline.run(spark, SF)
+        got = {r.doc_id: r for r in out.collect()}
+    assert set(got) == clean and 0 < len(clean) < len(rows)
+    assert all(got[i]["size"] == len(SPACED.findall(left[i])) and got[i].n_chars == len(left[i]) and got[i].taken <= 2 * got[i]["size"] for i in clean)
     total = sum(r["size"] for r in got.values())
     assert sum(r.taken for r in got.values()) == pytest.approx(1.5 * total, abs=len({r.source for r in docs}))
+    with pytest.raises(Exception, match="(?i)exist"):  # the block's end deletes all that was written in it
+        out.collect()
+
+
+CLASH = "lang_pred string, score double, id long, key long, component_id long, kept string, spans string, n_bytes int, items string, n_hit int, size long, target double, position long, p string"
+
+
+def _odd(spark, rows):
+    """documents with columns that are named like those that stages make."""
+    df = spark.createDataFrame([(*r, *([None] * 14)) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASH}")
+    return df.withColumns({"id": F.lit(9).cast("long"), "key": F.lit(9).cast("long"), "spans": F.lit("x"), "size": F.lit(7).cast("long")})
 
 
 def test_pipeline_stages_on_odd_rows(spark):
-    rows = [(1, "good text here " * 30, "en", "a", 1), (1, "good text here " * 30, "en", "a", 1), (None, "null id with some text", None, None, None), (2, None, None, "a", None), (3, "", "en", None, 0), (4, "more good words", "en", "b", 2)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SF)
-    assert [i for (i,) in rows_of(docs, "doc_id")][0] == 4 or docs.count() >= 2
-    empty = docs.sparkSession.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in corpus_pipeline.STAGES:
-        empty = stage(spark, empty, SF)
-    assert empty.count() == 0
+    r = random.Random(12)
+    words = [f"{a}{b}{c}" for a in ("bo", "ka", "ri") for b in ("ta", "lo", "ne") for c in ("s", "m", "", "x")]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    one, item = text(60), spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    near, long = one + " tail", text(60_000)
+    rows = [(1, one, "en", "a", 5), (1, one, "en", "a", 5), (2, near, None, "a", 5), (2, near, None, None, None), (None, text(50), None, None, None), (None, text(50), None, None, None), (3, None, "en", "a", None), (4, "", "en", None, 0), (5, "12 -- 34", "en", "b", 2), (6, long, "en", "b", 7), (7, text(30) + " " + item + " " + text(30), "en", None, 1), (8, text(40), None, "c", 1)]
+    rows += [(100 + i, text(40), "en", "a", 1) for i in range(20)]
+    stages = dict(corpus_pipeline.STAGES)
+    docs, columns = _odd(spark, rows), ["doc_id", "text", "lang", "source", "n_chars"]
+    ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=repr)
+    more = list(range(100, 120))
+    with scratch(spark):
+        kept = stash(stages["language"](spark, docs, SF), "kept")
+        assert kept.columns == columns and ids(kept) == sorted([1, 1, 2, 2, None, None, 6, 7, 8, *more], key=repr)
+        kept = stash(stages["near_duplicates"](spark, _odd(spark, kept.collect()), SF), "kept")
+        assert kept.columns == columns and ids(kept) == sorted([1, None, None, 6, 7, 8, *more], key=repr)
+        kept = stash(stages["suffix_repeats"](spark, _odd(spark, kept.collect()), SF), "kept")
+        assert kept.columns == columns and ids(kept) == sorted([1, None, None, 6, 7, 8, *more], key=repr)
+        assert {r.doc_id: r.text for r in kept.collect()}[6] == long
+        kept = stash(stages["decontamination"](spark, _odd(spark, kept.collect()), SF), "kept")
+        assert kept.columns == columns and ids(kept) == sorted([1, None, None, 6, 8, *more], key=repr)
+        out = stages["mixing"](spark, _odd(spark, kept.collect()), SF)
+        assert {"doc_id", "taken", "position", "again"} <= set(out.columns) and len(set(out.columns)) == len(out.columns) and ids(out) == ids(kept)
+    # later stages called with what the first ones would have taken away
+    with scratch(spark):
+        assert ids(stages["near_duplicates"](spark, docs, SF)) == sorted([1, None, None, 3, 4, 5, 6, 7, 8, *more], key=repr)
+        cut = {}
+        for x in stages["suffix_repeats"](spark, docs, SF).collect():
+            cut.setdefault(x.doc_id, []).append(x.text)
+        assert 1 not in cut and 2 not in cut and cut[3] == [""] and cut[6] == [long]  # equal rows repeat each other
+        assert ids(stages["decontamination"](spark, docs, SF)) == sorted((i for i, *_ in rows if i != 7), key=repr)
+        assert ids(stages["mixing"](spark, docs, SF)) == sorted((i for i, *_ in rows), key=repr)
+
+
+def test_pipeline_stages_on_nothing(spark):
+    empty = _odd(spark, [])
+    with scratch(spark):
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, empty, SF).count() == 0
+
+
+def test_language_stage_keeps_documents_if_nothing_can_be_learned(spark):
+    docs = _odd(spark, [(1, "some words", None, "a", 1), (2, "12", None, "a", 1), (3, None, None, "a", 1), (4, "日本", None, None, None)])
+    assert rows_of(corpus_pipeline.language(spark, docs, SF), "doc_id") == [(1,), (4,)]
