@@ -493,13 +493,20 @@ def _(s, d):
     return assemble.counts_by(documents(s, d), normalize.failure_type(F.col("text"), TYPES), "kind", "doc_id")
 
 
-@query("assemble_split", f"""WITH {M}, a AS (SELECT 0 AS so, 'c' AS sp, conv_id AS ln, {FP} AS fp FROM m), b AS (SELECT 1 AS so, 'd' AS sp, doc_id AS ln, sha256({_strip('lower(text)')}) AS fp FROM documents),
-k AS (SELECT so, sp, ln, row_number() OVER (PARTITION BY fp ORDER BY so, sp, ln) AS r FROM (SELECT * FROM a UNION ALL SELECT * FROM b)), u AS (SELECT so, sp, ln, so || '|' || sp || '|' || ln AS key FROM k WHERE r = 1)
-SELECT so AS source_ord, ln AS line_no, CASE WHEN row_number() OVER (ORDER BY {KEY.format('key')}, key) <= floor(count(*) OVER () * 0.1::DOUBLE) THEN 'eval' ELSE 'train' END AS split FROM u""")
-def _(s, d):
+ASSEMBLED = f"""{M}, x AS (SELECT 0 AS so, 'c' AS sp, conv_id AS ln, {FP} AS fp FROM m), b AS (SELECT 1 AS so, 'd' AS sp, doc_id AS ln, sha256({_strip('lower(text)')}) AS fp FROM documents),
+k AS (SELECT so, sp, ln, row_number() OVER (PARTITION BY fp ORDER BY so, sp, ln) AS r FROM (SELECT * FROM x UNION ALL SELECT * FROM b)), u AS (SELECT so, sp, ln, so || '|' || sp || '|' || ln AS key FROM k WHERE r = 1),
+a AS (SELECT so, sp, ln, CASE WHEN row_number() OVER (ORDER BY {KEY.format('key')}, key) <= floor(count(*) OVER () * 0.1::DOUBLE) THEN 'eval' ELSE 'train' END AS split FROM u)"""
+
+
+def assembled(s: SparkSession, d: str) -> DataFrame:
     a = conversations(s, d).select("messages", F.lit("c").alias("source_path"), F.col("conv_id").alias("line_no"))
     b = pairs(s, d).select("messages", F.lit("d").alias("source_path"), F.col("id").alias("line_no"))
-    return assemble.assemble([a, b]).select("source_ord", "line_no", "split")
+    return assemble.assemble([a, b])
+
+
+@query("assemble_split", f"WITH {ASSEMBLED} SELECT so AS source_ord, ln AS line_no, split FROM a")
+def _(s, d):
+    return assembled(s, d).select("source_ord", "line_no", "split")
 
 
 @query("path_order", "SELECT path, (dense_rank() OVER (ORDER BY string_split(path, '/')) - 1)::INTEGER AS file_ord FROM (VALUES ('a/b.x'), ('a.x/b'), ('a/b/c'), ('a'), ('b/a')) t(path)")
@@ -729,6 +736,24 @@ def _(s, d):
     return rows.select(F.md5(F.get("messages", F.lit(0))["content"]).alias("first"), F.size("messages").alias("messages"))
 
 
+@query("jsonl_cells", f"WITH {CELLS} SELECT cell_id, fingerprint, domain, task_type, verification_score, grade, id::VARCHAR AS source_pair_id FROM e")
+def _(s, d):
+    path = new_path(s, "cells")
+    cells(s, d).write.json(path)
+    return records.read_strict(s, path, records.CELL)
+
+
+@query("assemble_write", f"WITH {ASSEMBLED} SELECT split, count(*) AS n, count(DISTINCT sp) AS sources FROM a GROUP BY split")
+def _(s, d):
+    path = new_path(s, "data-set")
+    assemble.write_split(assembled(s, d), path)
+    n = None
+    for part in ("train", "eval"):
+        one = s.read.schema(records.CONVERSATION).json(f"{path}/{part}").agg(F.lit(part).alias("split"), F.count("messages").alias("n"))
+        n = one if n is None else n.union(one)
+    return n.join(s.read.parquet(f"{path}/full").groupBy("split").agg(F.count_distinct("source_path").alias("sources")), "split")
+
+
 @query("jsonl_discover", """SELECT doc_id % 4 AS part, sha256(string_agg('{"id":' || doc_id || ',"n_chars":' || n_chars || '}' || chr(10), '' ORDER BY doc_id)) AS sha256,
     sum(strlen('{"id":' || doc_id || ',"n_chars":' || n_chars || '}') + 1)::BIGINT AS bytes FROM documents GROUP BY 1""")
 def _(s, d):
