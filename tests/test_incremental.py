@@ -77,7 +77,7 @@ def test_requests_are_asked_once_and_reruns_agree(spark, tmp_path, monkeypatch):
     assert [r.line for r in spark.read.parquet(str(tmp_path / "clean/quarantine")).select("line").collect()] == ["{broken"]
     want = _results(spark, tmp_path / "clean")
     write, append = state.write_output, state.append
-    for name in ("answers/compare", "vetted", "state shards"):
+    for name in ("answers/compare", "state shards"):
         out, asked = tmp_path / name.replace(" ", "-").replace("/", "-"), tmp_path / f"asked {name.replace('/', ' ')}"
 
         def dying_write(df, path, *rest, name=name):
