@@ -267,38 +267,33 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], sized: str,
 def connected_components(edges: DataFrame) -> DataFrame:
     """(u, v) long pairs -> (node, component), component the smallest node reachable; only nodes that have an edge.
 
-    Alternating large-star and small-star steps until the edges stand still. A node's neighbours are never gathered:
-    each step is a minimum per node (summed before the shuffle) and an equi-join that AQE may split. Each step is
-    written to the shared folder, and the one before it deleted; count and sum of hashes, by which a round is compared with
-    the one before, are observed while it is written. Pairs with u = v or a null are dropped.
+    Alternating large-star and small-star steps until all edges are stars around smallest nodes. A node's neighbours are
+    never gathered: each step is a minimum per node (summed before the shuffle) and an equi-join that AQE may split. Each step is
+    written to the shared folder, and the one before it deleted. Nodes that are no star yet are counted while the minima of a
+    round are written. Pairs with u = v or a null are dropped.
     """
     spark = edges.sparkSession
-
-    def written(df: DataFrame) -> tuple[str, tuple]:
-        seen = Observation()
-        path = stash_path(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "cc")
-        return path, tuple(seen.get.values())
-
-    def lowest(df: DataFrame, smallest) -> tuple[str, DataFrame]:
-        # minima are written first, so that each join has two plain shuffles and AQE can split the one of a hot node
-        path = stash_path(df.groupBy("u").agg(F.min("v").alias("m")).select("u", smallest.alias("m")), "cc-low")
-        return path, spark.read.schema("u long, m long").parquet(path)
-
-    e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    path, now = written(e)
+    edge = "u long, v long"
+    path = stash_path(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     while True:
-        e, before = spark.read.schema("u long, v long").parquet(path), now
+        e = spark.read.schema(edge).parquet(path)
         both = e.union(e.select("v", "u"))
-        low_path, low = lowest(both, F.least("u", "m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(F.col("v") < F.col("u")).alias("below"), F.count_if(F.col("v") > F.col("u")).alias("above"))
+        open_ = Observation()
+        low = low.observe(open_, F.count_if(F.expr("below > 1 or (below = 1 and above > 0)")).alias("n"))
+        # minima are written first, so that each join has two plain shuffles and AQE can split the one of a hot node
+        low_path = stash_path(low.select("u", F.least("u", "m").alias("m")), "cc-low")
+        if not open_.get["n"]:
+            drop(spark, low_path)
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
+        low = spark.read.schema("u long, m long").parquet(low_path)
         large_path = stash_path(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), "cc")
         drop(spark, path)
         drop(spark, low_path)
-        e = spark.read.schema("u long, v long").parquet(large_path)
-        low_path, low = lowest(e, F.col("m"))
+        e = spark.read.schema(edge).parquet(large_path)
+        low_path = stash_path(e.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        low = spark.read.schema("u long, m long").parquet(low_path)
         e = e.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
-        path, now = written(e)
+        path = stash_path(e, "cc")
         drop(spark, large_path)
         drop(spark, low_path)
-        if now == before:
-            e = spark.read.schema("u long, v long").parquet(path)
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())

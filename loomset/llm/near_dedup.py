@@ -225,10 +225,10 @@ def _worth(keys: list[str], least: float):
     return run
 
 
-def _large_groups(sets: DataFrame, sketches: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The links of candidate groups of more than GROUP sets; found: those that were confirmed within blocks and with leaders."""
+def _large_groups(sets: DataFrame, sketches: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """The links of candidate groups of more than GROUP sets; label: components by what was confirmed within blocks and with leaders."""
     nodes = sets.select("id", "comp", "blocks", "block")
-    part = nodes.join(connected_components(found), nodes.id == F.col("node"), "left").select("id", "comp", "blocks", F.coalesce("component", "id").alias("part"))
+    part = nodes.join(label, nodes.id == F.col("node"), "left").select("id", "comp", "blocks", F.coalesce("component", "id").alias("part"))
     sizes = part.groupBy("comp", "part").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("comp").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all"))
     rest = part.join(largest, "comp").where("part <> top.part").select("id", "comp", F.expr(f"cast(ceil((all - top.n) / {STRAGGLERS}.0) as long)").alias("chunks"))
@@ -286,10 +286,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spread = lead.select("id", "comp", "shingles", "n", "blocks", F.col("block").alias("own"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block")).where("block <> own").drop("own")
     keys = ["comp", "block"]
     found = stash(_sorted(stashed.unionByName(spread).select("id", "shingles", *keys), keys).mapInArrow(_confirm(keys, percent), EDGE), "links")
-    links = found.union(copies)
+    links = found
     large = stashed.where("blocks > 1")
     if not large.isEmpty():
-        links = links.union(_large_groups(large, first.select("id", "sketch"), found, percent))
+        label = connected_components(found)
+        links = label.select(F.col("node").alias("u"), F.col("component").alias("v")).union(_large_groups(large, first.select("id", "sketch"), label, percent))
+    links = links.union(copies)
     label = connected_components(links)
     return (
         seen.join(label, seen.id == label.node, "left")
