@@ -321,17 +321,21 @@ def learn(texts: DataFrame) -> DataFrame:
 
 
 def _score(grams_often, words, train_docs: int):
+    """Sums over what is looked up at once, and the rest of each text; without grams_often, of the baseline only."""
+
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, often = whole(grams_often.value, Table), whole(words.value, Table)
+        common, often = grams_often and whole(grams_often.value, Table), whole(words.value, Table)
         for batch in batches:
             b, offs = utf8(batch.column(1))
             for i, j in chunks(offs, RUN):
                 part, o = b[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
-                g, starts = grams(part, o)
-                v, ok = common.get(g)
-                score = np.add.reduceat(v, starts[:-1])
-                far = _list(*np.split(g[~ok].view(np.int64), np.cumsum(np.add.reduceat(~ok, starts[:-1], dtype=np.int64))[:-1]))
+                score, far = np.zeros(j - i), pa.nulls(j - i, pa.list_(pa.int64()))
+                if common:
+                    g, starts = grams(part, o)
+                    v, ok = common.get(g)
+                    score = np.add.reduceat(v, starts[:-1])
+                    far = _list(*np.split(g[~ok].view(np.int64), np.cumsum(np.add.reduceat(~ok, starts[:-1], dtype=np.int64))[:-1]))
                 w = Words(part, o)
                 c, ok = often.get(w.hash)
                 log = np.where(ok, np.log10(c + 0.5), 0.0)
@@ -344,14 +348,17 @@ def _score(grams_often, words, train_docs: int):
     return run
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, held_out (crc32 of the id mod 5 = 1: not learned from), n_tokens, n_known, train_tokens, base_score, score."""
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tree: bool = True) -> DataFrame:
+    """One row per document: id, held_out (crc32 of the id mod 5 = 1: not learned from), n_tokens, n_known, train_tokens, base_score,
+    score. Without tree: the baseline alone, and no score."""
     context = docs.sparkSession.sparkContext
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     train = docs.where(~held_out(F.col(id_col), 1)).select(text.alias("text"))
-    values = learn(docs.select(text.alias("text"), (~held_out(F.col(id_col), 1)).alias("train")))
-    top = _frequent(values).select("g", "v").toPandas()
-    common = context.broadcast(plain(Table(top["g"].to_numpy(np.int64).view(np.uint64), top["v"].to_numpy(np.float64))))
+    values = common = None
+    if tree:
+        values = learn(docs.select(text.alias("text"), (~held_out(F.col(id_col), 1)).alias("train")))
+        top = _frequent(values).select("g", "v").toPandas()
+        common = context.broadcast(plain(Table(top["g"].to_numpy(np.int64).view(np.uint64), top["v"].to_numpy(np.float64))))
     vocabulary = stash(train.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     ends = train.count()
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -363,12 +370,28 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = stash(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count("*").alias("k"))
     rare = rare.join(vocabulary, "h", "left").groupBy("row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("k"))).alias("also"), F.lit(0.0).alias("deep"))
-    far = rows.select("row", F.explode("far").alias("g")).join(values.select("g", "v"), "g").groupBy("row").agg(F.lit(0.0).alias("more"), F.lit(0).cast("long").alias("also"), F.sum("v").alias("deep"))
-    more = rare.union(far).groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more", "also", "deep")))
+    more = rare
+    if tree:
+        far = rows.select("row", F.explode("far").alias("g")).join(values.select("g", "v"), "g").groupBy("row").agg(F.lit(0.0).alias("more"), F.lit(0).cast("long").alias("also"), F.sum("v").alias("deep"))
+        more = rare.union(far).groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more", "also", "deep")))
     zero = F.lit(0)
     out = rows.drop("rare", "far").join(more, "row", "left")
     per_token = float(np.log10(n + 0.5 * (v + 1)))
     return out.select(
         F.col("id").alias(id_col), held_out(F.col("id"), 1).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("also", zero)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"), (F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score"),
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"), *[(F.col("score") + F.coalesce("deep", F.lit(0.0))).alias("score")] * tree,
     )
+
+
+#: Of the baseline; base_score to three digits, as sums of logarithms depend on their order.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 5 = 1 AS held_out FROM documents),
+t AS (SELECT doc_id, held_out, unnest(list_append(w, chr(10))) AS t FROM d),
+c AS (SELECT t, count(*) AS c FROM t WHERE NOT held_out GROUP BY t),
+n AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM c)
+SELECT doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(c) AS n_known, any_value(n) AS train_tokens,
+    round(sum(log10((coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (v + 1)))), 3) AS base_score
+FROM t LEFT JOIN c USING (t), n GROUP BY doc_id
+"""

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, mixing, suffix_dedup, topk
+from loomset.llm import decontaminate, lm_score, mixing, suffix_dedup, topk
 from loomset.llm.common import table
 from loomset.llm.language import language_id
-from loomset.llm.lm_score import lm_scores
 from loomset.llm.near_dedup import near_duplicates
 from loomset.llm.quality import quality_scores
 from loomset.llm.suffix_dedup import remove_repeats
@@ -35,7 +34,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"))
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def lm_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5_lm_score that SQL can express."""
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"), tree=False).withColumn("base_score", F.round("base_score", 3))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "lm_baseline": lm_baseline,
 }
 
 ORACLES: dict[str, str] = {
@@ -86,6 +91,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP
     "op2_topk": topk.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op4_suffix_dedup": suffix_dedup.ORACLE,
+    "lm_baseline": lm_score.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
     "op10_warc": r"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS s FROM pages),

@@ -22,4 +22,4 @@ def test_query(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES if n.startswith("op")] == [f"op{k}" for k in range(1, 11)]
