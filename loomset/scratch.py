@@ -17,10 +17,10 @@ _scope: ContextVar[list[str] | None] = ContextVar("loomset_scratch", default=Non
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir. Where it is unset, a temporary folder in local mode, and an error on a cluster."""
+    """spark.checkpoint.dir. Where it is unset, a temporary folder if all runs on one machine, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        if not re.match(r"local(-cluster)?(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         local = tempfile.mkdtemp(prefix="loomset-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
