@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomset.functions import rules
@@ -660,15 +660,19 @@ def _(s, d):
 # Readers: S1-S14, A1-A6 from files. The driver's tables are written as JSON lines, with blank and broken lines between.
 
 
-def _written(lines: DataFrame, key: str) -> str:
-    """Rows (key, line) as text files, one for each key % 4: a broken line after each seventh key, a blank one after each fifth."""
+def _written(rows: DataFrame, key: str, line: Column) -> str:
+    """Lines of rows as text files, in a folder for each key % 4: a broken line after each seventh key, a blank one after each fifth.
+
+    Rows are dealt by ranges of key within each folder, whose files, in order of their names, hold its lines in order.
+    """
     more = F.filter(
-        F.array(F.struct(F.lit(0).alias("k"), F.col("line")), F.struct(F.lit(1).alias("k"), F.concat(F.lit('{"id": '), F.col(key)).alias("line")), F.struct(F.lit(2).alias("k"), F.lit(" ").alias("line"))),
+        F.array(F.struct(F.lit(0).alias("k"), line.alias("line")), F.struct(F.lit(1).alias("k"), F.concat(F.lit('{"id": '), F.col(key)).alias("line")), F.struct(F.lit(2).alias("k"), F.lit(" ").alias("line"))),
         lambda x: (x["k"] == 0) | ((x["k"] == 1) & (F.col(key) % 7 == 0)) | ((x["k"] == 2) & (F.col(key) % 5 == 0)),
     )
-    path = new_path(lines.sparkSession, "json-lines")
-    rows = lines.select(key, F.explode(more).alias("x")).select((F.col(key) % 4).alias("part"), key, "x.k", "x.line")
-    rows.repartition(4, "part").sortWithinPartitions("part", key, "k").select("part", "line").write.partitionBy("part").text(path)
+    path = new_path(rows.sparkSession, "json-lines")
+    part = F.col(key) % 4
+    rows = rows.repartitionByRange(part, key).select(part.alias("part"), key, F.explode(more).alias("x")).select("part", key, "x.k", "x.line")
+    rows.sortWithinPartitions("part", key, "k").select("part", "line").write.partitionBy("part").text(path)
     return path
 
 
@@ -682,31 +686,31 @@ def _part(path: str = "source_path"):
 
 def document_lines(s: SparkSession, d: str) -> str:
     fields = F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("a_b_c").alias("source"), F.col("text").alias("instruction"), F.col("lang").alias("output"))
-    return _written(documents(s, d).select("doc_id", F.to_json(fields).alias("line")), "doc_id")
+    return _written(documents(s, d), "doc_id", F.to_json(fields))
 
 
 def conversation_lines(s: SparkSession, d: str) -> str:
     """Conversations, of which some lack their messages and some have a text instead."""
     c = conversations(s, d)
-    line = F.when(c.conv_id % 11 == 0, '{"other": 1}').when(c.conv_id % 13 == 0, '{"messages": "none"}').otherwise(F.to_json(F.struct("messages")))
-    return _written(c.select("conv_id", line.alias("line")), "conv_id")
+    line = F.when(F.col("conv_id") % 11 == 0, '{"other": 1}').when(F.col("conv_id") % 13 == 0, '{"messages": "none"}').otherwise(F.to_json(F.struct("messages")))
+    return _written(c, "conv_id", line)
 
 
 @query("jsonl_lenient_scan", f"WITH {DOC_LINES} SELECT part, line_no, doc_id::VARCHAR AS id, md5(text) AS h FROM l WHERE k = 0")
 def _(s, d):
-    ok, _bad = records.read_lenient(s, document_lines(s, d), records.FAILURE)
+    ok, _bad = records.read_lenient(s, document_lines(s, d), records.FAILURE, folders=True)
     return ok.select(_part(), "line_no", "id", F.md5("instruction").alias("h"))
 
 
 @query("jsonl_quarantine", f"WITH {DOC_LINES} SELECT part, line_no, '{{\"id\": ' || doc_id AS line FROM l WHERE k = 1")
 def _(s, d):
-    _ok, bad = records.read_lenient(s, document_lines(s, d), records.FAILURE)
+    _ok, bad = records.read_lenient(s, document_lines(s, d), records.FAILURE, folders=True)
     return bad.select(_part(), "line_no", "line")
 
 
 @query("jsonl_line_counts", f"WITH {DOC_LINES} SELECT part, count(*) FILTER (k < 2) AS lines FROM l GROUP BY part")
 def _(s, d):
-    return records.line_counts(s, document_lines(s, d)).select(_part(), "lines")
+    return records.line_counts(s, document_lines(s, d), folders=True).select(_part(), "lines")
 
 
 @query("jsonl_skipping", f"WITH {DOC_LINES} SELECT doc_id::VARCHAR AS id, md5(text) AS h FROM l WHERE k = 0")
@@ -718,13 +722,13 @@ def _(s, d):
     CASE WHEN conv_id % 11 = 0 THEN 'no messages' WHEN conv_id % 13 = 0 THEN 'messages are no list of objects' ELSE {DETAIL} END AS detail FROM l WHERE k = 0)
 SELECT part, line_no, gate, 'line ' || line_no || ': ' || detail AS detail FROM g""")
 def _(s, d):
-    rows, _bad = audit.file_records(records.read_for_audit(s, conversation_lines(s, d)))
+    rows, _bad = audit.file_records(records.read_for_audit(s, conversation_lines(s, d), folders=True))
     return audit.gated(rows).select(_part(), "line_no", "gate", "detail")
 
 
 @query("jsonl_parse_errors", f"WITH {LINES.format('conv_id', '(SELECT DISTINCT conv_id FROM conversations)', '')} SELECT part, line_no FROM l WHERE k = 1")
 def _(s, d):
-    _rows, bad = audit.file_records(records.read_for_audit(s, conversation_lines(s, d)))
+    _rows, bad = audit.file_records(records.read_for_audit(s, conversation_lines(s, d), folders=True))
     return bad.select(_part(), "line_no")
 
 

@@ -1,11 +1,12 @@
 """Readers of JSON-lines records. Schemas are explicit; each reader says what it does with bad lines.
 
-Order is kept as (source_path, line_no): line numbers are physical, from 1, and blank lines count.
+Order is kept as (source_path, line_no): line numbers are physical, from 1, and blank lines count. With folders, the files of a
+folder, in order of their names, are one shard: source_path is the folder, and its lines are numbered from one file to the next.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,19 +50,23 @@ def path_order(files: DataFrame) -> DataFrame:
     return files.withColumn("file_ord", F.dense_rank().over(Window.orderBy(F.split("path", "/"))) - 1)
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _shard(path: str, folders: bool) -> Column:
+    return F.regexp_replace(path, "/[^/]*$", "") if folders else F.col(path)
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], folders: bool = False) -> DataFrame:
     """(source_path, line_no, line). Files are read by splits, however long they are.
 
-    Lines are numbered within each split, and the splits' line counts, one row for each split, are summed up by file: a first
+    Lines are numbered within each split, and the splits' line counts, one row for each split, are summed up by shard: a first
     pass counts, and each use of the result is a second. A line ends with LF, CR or CR LF.
     """
     rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("m"))
     counts = rows.groupBy("source_path", "block").agg(F.min("m").alias("first"), F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(_shard("source_path", folders)).orderBy("source_path", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     found = counts.select("source_path", "block", (before - F.col("first") + 1).alias("shift"))
     # the driver holds a record of each split as it is; the size being known, small ones are broadcast and large ones shuffled
     starts = spark.createDataFrame(found.collect(), found.schema)
-    return rows.join(starts, ["source_path", "block"]).select("source_path", (F.col("m") + F.col("shift")).alias("line_no"), "line")
+    return rows.join(starts, ["source_path", "block"]).select(_shard("source_path", folders).alias("source_path"), (F.col("m") + F.col("shift")).alias("line_no"), "line")
 
 
 def parsed(lines: DataFrame, schema: str) -> DataFrame:
@@ -72,9 +77,9 @@ def parsed(lines: DataFrame, schema: str) -> DataFrame:
     return lines.withColumns({"is_blank": text == "", "is_bad": (text != "") & ~is_object, "value": F.when(is_object, value)})
 
 
-def read_lenient(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
+def read_lenient(spark: SparkSession, path: str | list[str], schema: str, folders: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, quarantine): blank lines are skipped, malformed ones go to quarantine with their place."""
-    p = parsed(numbered_lines(spark, path), schema)
+    p = parsed(numbered_lines(spark, path, folders), schema)
     return p.where("not is_blank and not is_bad").select("value.*", "source_path", "line_no"), p.where("is_bad").select("source_path", "line_no", "line")
 
 
@@ -95,15 +100,16 @@ def read_training(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("messages", F.when(bad, F.raise_error(F.lit("fewer than two messages")).cast(MESSAGES)).otherwise(F.col("messages")))
 
 
-def read_for_audit(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_for_audit(spark: SparkSession, path: str | list[str], folders: bool = False) -> DataFrame:
     """(source_path, line_no, form, messages) of each record; form tells absent, not a list and list apart. Bad lines: form bad."""
-    p = parsed(numbered_lines(spark, path), CONVERSATION).where("not is_blank")
+    p = parsed(numbered_lines(spark, path, folders), CONVERSATION).where("not is_blank")
     v = F.try_variant_get(F.try_parse_json("line"), "$.messages", "variant")
     kind = F.schema_of_variant(v)
     form = F.when(F.col("is_bad"), "bad").when(v.isNull(), "absent").when(kind.startswith("ARRAY"), "list").otherwise("not a list")
     return p.select("source_path", "line_no", form.alias("form"), F.col("value.messages").alias("messages"))
 
 
-def line_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def line_counts(spark: SparkSession, path: str | list[str], folders: bool = False) -> DataFrame:
     """(source_path, lines): lines that are not blank, counted without parsing."""
-    return spark.read.text(path).where(X.strip(F.col("value")) != "").groupBy(F.col("_metadata.file_path").alias("source_path")).agg(F.count("*").alias("lines"))
+    files = spark.read.text(path).where(X.strip(F.col("value")) != "").select(F.col("_metadata.file_path").alias("source_path"))
+    return files.groupBy(_shard("source_path", folders).alias("source_path")).agg(F.count("*").alias("lines"))

@@ -45,6 +45,74 @@ def test_line_numbers_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_line_numbers_through_a_folder(spark, tmp_path):
+    """Files of a folder in order of their names, also when they are split, and folders apart from each other."""
+    want = []
+    for part in (0, 1):
+        (tmp_path / f"part={part}").mkdir()
+        n = 0
+        for k, size in enumerate((90, 0, 3, 40)):
+            rows = [f"{part} {k} {i} " + "x" * (i % 30) if i % 7 else "" for i in range(size)]
+            (tmp_path / f"part={part}" / f"part-{k:05}.txt").write_text("".join(r + "\n" for r in rows))
+            want += [(f"part={part}", n + i + 1, r) for i, r in enumerate(rows)]
+            n += size
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        got = R.numbered_lines(spark, str(tmp_path), folders=True).collect()
+        assert sorted((r.source_path.rsplit("/", 1)[1], r.line_no, r.line) for r in got) == sorted(want)
+        counts = rows_of(R.line_counts(spark, str(tmp_path), folders=True))
+        assert [(p.rsplit("/", 1)[1], n) for p, n in counts] == [(f"part={k}", sum(p == f"part={k}" and r != "" for p, _, r in want)) for k in (0, 1)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of 16 partitions, none of them joined again."""
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _by_sql(spark, name, written):
+    """Rows of a catalog query as in SQL, of lines that lie in more files than parts."""
+    import duckdb
+
+    from conftest import SF
+    from loomset.plans import catalog
+
+    sql, df = catalog.ORACLES[name], catalog.QUERIES[name](spark, SF)
+    files = [len(list(p.glob("part=*/*.txt"))) for p in written()]
+    assert files and min(files) > 8, files
+    c = duckdb.connect()
+    for t in ("documents", "conversations"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    cols = ", ".join(df.columns)
+    assert rows_of(df) == sorted(c.sql(f"SELECT {cols} FROM ({sql})").fetchall(), key=repr)
+
+
+@pytest.fixture
+def written(spark):
+    """The folders of lines that a test wrote."""
+    from pathlib import Path
+
+    from loomset.scratch import shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(shared.glob("json-lines-*"))
+    return lambda: set(shared.glob("json-lines-*")) - before
+
+
+@pytest.mark.parametrize("name", ["jsonl_lenient_scan", "jsonl_audit", "jsonl_parse_errors"])
+def test_a_part_is_no_single_task(spark, many_partitions, written, name):
+    _by_sql(spark, name, written)
+
+
 def test_discover(spark, lines):
     deep = R.discover(spark, str(lines))
     assert [p.rsplit("/", 1)[1] for (p,) in rows_of(deep, "path")] == ["shard_1.jsonl", "shard_2.jsonl"]
