@@ -108,7 +108,7 @@ def written(spark):
     return lambda: set(shared.glob("json-lines-*")) - before
 
 
-@pytest.mark.parametrize("name", ["jsonl_lenient_scan", "jsonl_audit", "jsonl_parse_errors", "jsonl_line_counts", "jsonl_quarantine"])
+@pytest.mark.parametrize("name", ["jsonl_lenient_scan", "jsonl_audit", "jsonl_parse_errors", "jsonl_line_counts", "jsonl_quarantine", "jsonl_skipping"])
 def test_a_part_is_no_single_task(spark, many_partitions, written, name):
     _by_sql(spark, name, written)
 
