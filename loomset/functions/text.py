@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+#: Unicode white space: control characters, then all of category Z.
+_SPACE = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85" + " \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 BRANCH = " → "
 
 
 def strip(x: Column) -> Column:
-    """Without Unicode white space at both ends; trim() knows only spaces."""
-    return F.regexp_replace(x, f"^{_SPACE}|{_SPACE}$", "")
+    """Without Unicode white space at both ends. Only the ends are compared; a pattern would try each run of spaces within."""
+    return F.btrim(x, F.lit(_SPACE))
 
 
 def text_or_empty(x: Column) -> Column:

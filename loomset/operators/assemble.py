@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomset.functions import text as X
 from loomset.operators.sample import exact_split, keep_first, shuffled_cap
+from loomset.scratch import stash
 
 ORDER = ["source_ord", "source_path", "line_no"]
 
@@ -34,20 +35,30 @@ def removed(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def assemble(parts: list[DataFrame], cap: int = 0, ratio: float = 0.1, seed: int = 42) -> DataFrame:
-    """Union, keep-first deduplication on the first answer, an optional cap, and the split."""
+    """Union, keep-first deduplication on the first answer, an optional cap, and the split.
+
+    The union is written once, with fingerprints and row numbers. All is decided on these and the order, without messages, which
+    are joined to the rows that stay.
+    """
     df = bag_union(parts)
-    df = keep_first(df, X.answer_fingerprint(F.col("messages")), ORDER)
-    df = df.withColumn("_key", F.concat_ws("|", *(F.col(c).cast("string") for c in ORDER)))
+    key = F.concat_ws("|", *(F.col(c).cast("string") for c in ORDER))
+    df = stash(df.withColumns({"_f": X.answer_fingerprint(F.col("messages")), "_key": key, "_row": F.monotonically_increasing_id()}), "union")
+    rows = keep_first(df.select(*ORDER, "_f", "_key", "_row"), F.col("_f"), ORDER)
     if cap > 0:
-        df = shuffled_cap(df, cap, "_key", seed)
-    return exact_split(df, ratio, "_key", seed).drop("_key")
+        rows = shuffled_cap(rows, cap, "_key", seed)
+    rows = exact_split(rows, ratio, "_key", seed).select("_row", "split")
+    return df.join(rows, "_row").drop("_f", "_key", "_row")
 
 
 def write_split(df: DataFrame, path: str) -> None:
-    """messages as JSON lines under train/ and eval/, and everything as Parquet under full/, so that sources stay known."""
+    """messages as JSON lines under train/ and eval/, and everything as Parquet under full/, so that sources stay known.
+
+    df is computed once: the lines are written from what full/ holds.
+    """
     df.write.mode("overwrite").parquet(f"{path}/full")
+    full = df.sparkSession.read.schema(df.schema).parquet(f"{path}/full")
     for part in ("train", "eval"):
-        df.where(F.col("split") == part).select("messages").write.mode("overwrite").json(f"{path}/{part}")
+        full.where(F.col("split") == part).select("messages").write.mode("overwrite").json(f"{path}/{part}")
 
 
 def rendered(messages: Column, start: str = "<|{role}|>\n", end: str = "\n<|end|>\n") -> Column:
