@@ -61,16 +61,11 @@ def seeded_key(seed: int, key: Column) -> Column:
 def degenerate(x: Column) -> Column:
     """Whether one of the 200-character windows at multiples of 200 starts with 40 characters that occur three times in it.
 
-    Windows below 123 characters are not tested, and starts end at the smaller of length - 120 and 5000.
+    Windows below 123 characters are not tested, nor are those that start at 5000 or later. The windows are cut in one pass, as
+    each substring would count characters from the start of the text.
     """
-    n = F.length(x)
-
-    def repeats(at: Column) -> Column:
-        w = F.substring(x, at + 1, F.lit(200))
-        return (F.length(w) >= 123) & (F.length(w) - F.length(F.replace(w, F.left(w, F.lit(40)), F.lit(""))) >= 120)
-
-    starts = F.sequence(F.lit(0), F.least(n - 120, F.lit(5000)) - 1, F.lit(200))
-    return F.when(n <= 120, F.lit(False)).otherwise(F.exists(starts, repeats))
+    windows = F.regexp_extract_all(F.left(x, F.lit(5000)), F.lit("(?s).{1,200}"), F.lit(0))
+    return F.exists(windows, lambda w: (F.length(w) >= 123) & (F.length(w) - F.length(F.replace(w, F.left(w, F.lit(40)), F.lit(""))) >= 120))
 
 
 # Messages: array<struct<role, content>>

@@ -20,8 +20,11 @@ def domain(vertical: Column) -> Column:
 
 
 def stamp(vetted: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """Cells from vetted pairs (id, task, messages, metadata, score); a missing score is 70, a missing task is the skill."""
-    answer = X.answer_fingerprint(F.col("messages"))
+    """Cells from vetted pairs (id, task, messages, metadata, score); a missing score is 70, a missing task is the skill.
+
+    A column answer, if there is one, holds the answer's fingerprint, and messages aren't asked for.
+    """
+    answer = F.col("answer") if "answer" in vetted.columns else X.answer_fingerprint(F.col("messages"))
     task = F.coalesce(F.col("task"), F.lit(SKILL))
     cells = vetted.select(
         X.prefix(X.sha256(F.concat_ws("|", answer, task, F.col("id").cast("string"))), 32).alias("cell_id"), answer.alias("fingerprint"), domain(F.col("metadata.vertical")).alias("domain"), task.alias("task_type"),

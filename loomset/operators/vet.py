@@ -51,10 +51,11 @@ def vet(pairs: DataFrame, order: list[str], known: DataFrame | None = None, fing
     """
     answer = X.text_or_empty(X.last_content(F.col("messages"), "assistant"))
     df = pairs.withColumn("fingerprint", X.conversation_hash(F.col("messages")) if fingerprint is None else fingerprint)
-    df = first_seen(df, "fingerprint", order, known)
-    gates = {"source_tags": source_tags(F.col("messages")), "content_length": F.length(answer) >= rules.MIN_ASSISTANT, "degenerate": ~X.degenerate(answer), "coherence": coherent(F.col("task"), answer, keywords)}
-    df = df.withColumns({f"gate_{k}": v for k, v in gates.items()})
-    return scored(df)
+    # none is ever null: for one that may be, a filter would be inferred that computes it once more
+    gates = {"source_tags": source_tags(F.col("messages")), "content_length": F.length(answer) >= rules.MIN_ASSISTANT, "degenerate": F.coalesce(~X.degenerate(answer), F.lit(False)), "coherence": coherent(F.col("task"), answer, keywords)}
+    # below the join, which keeps a filter on the result from computing them again, and messages out of the shuffle where none are asked for
+    gated = df.withColumns({f"gate_{k}": v for k, v in gates.items()})
+    return scored(first_seen(gated, "fingerprint", order, known))
 
 
 def scored(df: DataFrame) -> DataFrame:

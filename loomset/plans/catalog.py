@@ -392,7 +392,7 @@ v AS (SELECT *, gates >= 4 AS passed, CASE gates WHEN 5 THEN 70 WHEN 4 THEN 60 E
 
 def vetted(s: SparkSession, d: str) -> DataFrame:
     known = documents(s, d).where("doc_id % 10 = 0").select(X.conversation_hash(F.array(X.message("system", F.lit("s")), X.message("user", F.lit("look at this")), X.message("assistant", F.col("text")))).alias("fingerprint"))
-    return vet.vet(pairs(s, d), ["id"], known, keywords=WORDS)
+    return vet.vet(pairs(s, d).withColumn("answer", X.answer_fingerprint(F.col("messages"))), ["id"], known, keywords=WORDS)
 
 
 @query("vet_pairs", f"WITH {VETTED} SELECT id, task, gates, passed, score, reason FROM v")
