@@ -106,7 +106,8 @@ def batch_header(cells: DataFrame, root: str) -> DataFrame:
 
 
 def ledger_batch(cells: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
-    """Header row and pair rows of a batch; pairs stay a table, as they may be many."""
+    """Header row and pair rows of a batch; pairs stay a table, as they may be many. Cells are written once, and all is read from there."""
+    cells = stash(cells, "cells")
     return batch_header(cells, hash_root(cells, "fingerprint", order)), ledger_pairs(cells)
 
 
