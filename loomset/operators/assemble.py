@@ -50,17 +50,24 @@ def assemble(parts: list[DataFrame], cap: int = 0, ratio: float = 0.1, seed: int
     return df.join(rows, "_row").drop("_f", "_key", "_row")
 
 
-def write_split(df: DataFrame, path: str) -> None:
-    """messages as JSON lines under train/ and eval/, and everything as Parquet under full/, so that sources stay known.
-
-    df is computed once: the lines are written from what full/ holds.
-    """
+def write_full(df: DataFrame, path: str) -> None:
+    """Everything as Parquet under full/, so that sources stay known."""
     df.write.mode("overwrite").parquet(f"{path}/full")
-    full = df.sparkSession.read.schema(df.schema).parquet(f"{path}/full")
+
+
+def write_lines(spark: SparkSession, path: str) -> None:
+    """messages of what full/ holds as JSON lines under train/ and eval/."""
+    full = spark.read.parquet(f"{path}/full")
     for part in ("train", "eval"):
         full.where(F.col("split") == part).select("messages").write.mode("overwrite").json(f"{path}/{part}")
 
 
+def write_split(df: DataFrame, path: str) -> None:
+    """Both; df is computed once."""
+    write_full(df, path)
+    write_lines(df.sparkSession, path)
+
+
 def rendered(messages: Column, start: str = "<|{role}|>\n", end: str = "\n<|end|>\n") -> Column:
     """Chat text from an own template: start with the role, content, end, for each message."""
     a, _, b = start.partition("{role}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomset.functions import rules
 from loomset.functions import text as X
 from loomset.operators import assemble, audit, balance, infer, normalize, prompts, sample, seal, state, vet
-from loomset.scratch import new_path
+from loomset.scratch import new_path, scratch
 from loomset.sources import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -750,7 +750,9 @@ def _(s, d):
 @query("assemble_write", f"WITH {ASSEMBLED} SELECT split, count(*) AS n, count(DISTINCT sp) AS sources FROM a GROUP BY split")
 def _(s, d):
     path = new_path(s, "data-set")
-    assemble.write_split(assembled(s, d), path)
+    with scratch(s):  # the union goes once full/ is written
+        assemble.write_full(assembled(s, d), path)
+    assemble.write_lines(s, path)
     n = None
     for part in ("train", "eval"):
         one = s.read.schema(records.CONVERSATION).json(f"{path}/{part}").agg(F.lit(part).alias("split"), F.count("messages").alias("n"))
