@@ -660,10 +660,15 @@ def _(s, d):
 # Readers: S1-S14, A1-A6 from files. The driver's tables are written as JSON lines, with blank and broken lines between.
 
 
-def _written(rows: DataFrame, key: str, line: Column) -> str:
+#: Bytes of text that one task gets on average, at most, when lines are written.
+SHARE = 64 << 20
+
+
+def _written(table: DataFrame, rows: DataFrame, key: str, line: Column) -> str:
     """Lines of rows as text files, in a folder for each key % 4: a broken line after each seventh key, a blank one after each fifth.
 
-    Rows are dealt by ranges of key within each folder, whose files, in order of their names, hold its lines in order.
+    Rows are dealt by ranges of key within each folder, whose files, in order of their names, hold its lines in order. There are as
+    many ranges as the texts of table, which the rows are made of, have shares, where the session has fewer shuffle partitions.
     """
     more = F.filter(
         F.array(F.struct(F.lit(0).alias("k"), line.alias("line")), F.struct(F.lit(1).alias("k"), F.concat(F.lit('{"id": '), F.col(key)).alias("line")), F.struct(F.lit(2).alias("k"), F.lit(" ").alias("line"))),
@@ -671,7 +676,9 @@ def _written(rows: DataFrame, key: str, line: Column) -> str:
     )
     path = new_path(rows.sparkSession, "json-lines")
     part = F.col(key) % 4
-    rows = rows.repartitionByRange(part, key).select(part.alias("part"), key, F.explode(more).alias("x")).select("part", key, "x.k", "x.line")
+    n = -(-(table.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARE)
+    rows = rows.repartitionByRange(n, part, key) if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows.repartitionByRange(part, key)
+    rows = rows.select(part.alias("part"), key, F.explode(more).alias("x")).select("part", key, "x.k", "x.line")
     rows.sortWithinPartitions("part", key, "k").select("part", "line").write.partitionBy("part").text(path)
     return path
 
@@ -686,14 +693,15 @@ def _part(path: str = "source_path"):
 
 def document_lines(s: SparkSession, d: str) -> str:
     fields = F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("a_b_c").alias("source"), F.col("text").alias("instruction"), F.col("lang").alias("output"))
-    return _written(documents(s, d), "doc_id", F.to_json(fields))
+    docs = documents(s, d)
+    return _written(docs, docs, "doc_id", F.to_json(fields))
 
 
 def conversation_lines(s: SparkSession, d: str) -> str:
     """Conversations, of which some lack their messages and some have a text instead."""
     c = conversations(s, d)
     line = F.when(F.col("conv_id") % 11 == 0, '{"other": 1}').when(F.col("conv_id") % 13 == 0, '{"messages": "none"}').otherwise(F.to_json(F.struct("messages")))
-    return _written(c, "conv_id", line)
+    return _written(_table(s, d, "conversations"), c, "conv_id", line)
 
 
 @query("jsonl_lenient_scan", f"WITH {DOC_LINES} SELECT part, line_no, doc_id::VARCHAR AS id, md5(text) AS h FROM l WHERE k = 0")

@@ -113,6 +113,15 @@ def test_a_part_is_no_single_task(spark, many_partitions, written, name):
     _by_sql(spark, name, written)
 
 
+@pytest.mark.parametrize("name", ["jsonl_line_counts"])
+def test_tasks_follow_the_text(spark, monkeypatch, written, name):
+    """With four shuffle partitions, as the session has them."""
+    from loomset.plans import catalog
+
+    monkeypatch.setattr(catalog, "SHARE", 16 << 10, raising=False)
+    _by_sql(spark, name, written)
+
+
 def test_discover(spark, lines):
     deep = R.discover(spark, str(lines))
     assert [p.rsplit("/", 1)[1] for (p,) in rows_of(deep, "path")] == ["shard_1.jsonl", "shard_2.jsonl"]
