@@ -113,7 +113,7 @@ def test_a_part_is_no_single_task(spark, many_partitions, written, name):
     _by_sql(spark, name, written)
 
 
-@pytest.mark.parametrize("name", ["jsonl_line_counts", "jsonl_quarantine"])
+@pytest.mark.parametrize("name", ["jsonl_line_counts", "jsonl_quarantine", "jsonl_skipping"])
 def test_tasks_follow_the_text(spark, monkeypatch, written, name):
     """With four shuffle partitions, as the session has them."""
     from loomset.plans import catalog
